@@ -23,11 +23,12 @@ def table_quantiles(
     order statistics around every quantile, counts prove the bracket, and the next sketch looks only
     inside it, until what is left fits ``bounded`` values. Each round is one scan with map-side
     aggregation and no shuffle of rows; all columns and quantiles share it."""
-    bounded = bounded or min(_BOUNDED, rows_per_slice(df))
+    direct = rows_per_slice(df)
+    bounded = bounded or min(_BOUNDED, direct)
     plain = {column: F.col(column).cast("double") for column in columns}
     counts = df.agg(*(F.count(plain[c]).alias(f"n{i}") for i, c in enumerate(columns))).first()
     sizes = {column: counts[f"n{i}"] for i, column in enumerate(columns)}
-    if max(sizes.values(), default=0) <= bounded:
+    if max(sizes.values(), default=0) <= direct:
         exact = df.agg(
             *(F.percentile(plain[c], F.array(*map(F.lit, shares))).alias(f"q{i}") for i, c in enumerate(columns))
         ).first()
