@@ -8,7 +8,7 @@ from pyspark.ml import Estimator, Model
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tankwise.functions.phases import CURVE_CUTS, below_cuts, phase_by_level, phase_by_ratio
+from tankwise.functions.phases import CURVE_CUTS, PHASES, phase_by_level, phase_by_ratio
 from tankwise.functions.times import minutes_between
 from tankwise.plans.params import attach, settle
 
@@ -92,8 +92,11 @@ def learn_curves(
     curve = stepped.groupBy(*keys, "step").agg(*(F.avg(c).alias(c) for c in columns))
     # A curve has at most one row per step of the longest batch.
     length = F.max("step").over(Window.partitionBy(*keys)) + 1
-    phase = below_cuts(F.col("step") / length, CURVE_CUTS)
-    return curve.withColumn("phase", phase).withColumn("time_minutes", F.col("step") * minutes)
+    ends = [F.floor(length * cut) for cut in CURVE_CUTS]
+    phase = F.when(F.col("step") < ends[0], PHASES[0])
+    for end, name in zip(ends[1:], PHASES[1:]):
+        phase = phase.when(F.col("step") < end, name)
+    return curve.withColumn("phase", phase.otherwise(PHASES[-1])).withColumn("time_minutes", F.col("step") * minutes)
 
 
 def lookup_curve(curves: DataFrame, strain: str, style: str) -> DataFrame:

@@ -64,14 +64,17 @@ class Ordered:
 
     def framed(
         self,
-        columns: Callable[[WindowSpec], Mapping[str, Column]],
+        columns: Callable[[WindowSpec], Mapping[str, Column] | list[Mapping[str, Column]]],
         back: int,
         ahead: int = 0,
     ) -> "Ordered":
-        """Add window columns whose frames reach ``back`` rows back and ``ahead`` rows forward."""
+        """Add window columns whose frames reach ``back`` rows back and ``ahead`` rows forward.
+
+        ``columns`` may return a list of mappings, each of which may use the columns of the ones
+        before; ``back`` and ``ahead`` then cover the sum of their frames."""
         if not self.split:
             window = Window.partitionBy(*self.keys).orderBy(*self.order)
-            return self.with_rows(self.rows.withColumns(dict(columns(window))))
+            return self.with_rows(_in_stages(self.rows, columns(window)))
 
         inner = Window.partitionBy(*self._partition).orderBy(*self.order)
         outer = Window.partitionBy(*self.keys).orderBy(*self.order)
@@ -82,8 +85,8 @@ class Ordered:
         near_border = (F.col(_RANK) <= back) | (F.col(_RANK_BACK) <= ahead)
         reach = back + ahead
         border_rows = ranked.filter((F.col(_RANK) <= reach) | (F.col(_RANK_BACK) <= reach))
-        inside = ranked.withColumns(dict(columns(inner))).filter(~near_border)
-        at_border = border_rows.withColumns(dict(columns(outer))).filter(near_border)
+        inside = _in_stages(ranked, columns(inner)).filter(~near_border)
+        at_border = _in_stages(border_rows, columns(outer)).filter(near_border)
         return self.with_rows(inside.unionByName(at_border).drop(_RANK, _RANK_BACK))
 
     def scan(
@@ -292,6 +295,12 @@ def _bucketed(df: DataFrame, axis: str, splits: list[float], name: str) -> DataF
     )
 
 
+def _in_stages(df: DataFrame, columns: Mapping[str, Column] | list[Mapping[str, Column]]) -> DataFrame:
+    for stage in columns if isinstance(columns, list) else [columns]:
+        df = df.withColumns(dict(stage))
+    return df
+
+
 def _addend(name: str) -> str:
     return f"_add_{name}"
 
