@@ -1 +1,6 @@
+"""Named queries over the test tables, each with an equivalent SQL text where SQL can express it."""
 
+from tankwise.catalog import analysis, detection, learning, preparation
+from tankwise.catalog.registry import ORACLES, QUERIES
+
+__all__ = ["ORACLES", "QUERIES", "analysis", "detection", "learning", "preparation"]

@@ -51,14 +51,14 @@ def batch_metrics(
             F.count(F.lit(1)).alias("num_samples"),
         )
     )
-    known = attach(
-        slim.select(batch, time, co2, do), firsts.select(batch, "_peak", "_first_do"), [batch], small, how="inner"
-    )
-    times = known.groupBy(batch).agg(
+    known = attach(slim.select(batch, time, co2, do), firsts, [batch], small, how="inner")
+    carried = ("_peak", "_start", "_end", "_first_pressure", "_last_pressure", "num_samples")
+    metrics = known.groupBy(batch).agg(
         F.min(F.when(F.col(co2) == F.col("_peak"), F.col(time))).alias("_peak_at"),
         F.min(F.when((F.col("_first_do") > 0) & (F.col(do) <= F.col("_first_do") / 2), F.col(time))).alias("_half_at"),
+        *(F.max(c).alias(c) for c in carried),
     )
-    return attach(times, firsts, [batch], small, how="right").select(
+    return metrics.select(
         batch,
         F.col("_peak").alias("peak_co2_ppm"),
         minutes_between(F.col("_start"), F.col("_peak_at")).alias("time_to_peak_minutes"),

@@ -30,9 +30,11 @@ def missing_profile(df: DataFrame, columns: Iterable[str] | None = None) -> Data
     )
 
 
-def _scanned(df: DataFrame | Ordered, order: Iterable[str], keys: Iterable[str], columns: list[str]) -> Ordered:
+def _scanned(
+    df: DataFrame | Ordered, order: Iterable[str], keys: Iterable[str], columns: list[str], earlier: bool = True, later: bool = True
+) -> Ordered:
     arranged = df if isinstance(df, Ordered) else arrange(df, order, keys)
-    return arranged.scan(valid=columns)
+    return arranged.scan(earlier=columns if earlier else (), later=columns if later else ())
 
 
 def _distance(column: str) -> Column:
@@ -110,7 +112,7 @@ def forward_fill(
 ) -> DataFrame:
     """Repeat the last valid value for at most ``limit`` rows."""
     columns = list(columns)
-    arranged = _scanned(df, order, keys, columns)
+    arranged = _scanned(df, order, keys, columns, later=False)
     replaced = {}
     for c in columns:
         within = F.lit(True) if limit is None else _distance(c) <= limit
@@ -123,7 +125,7 @@ def backward_fill(
 ) -> DataFrame:
     """Take the next valid value, however far."""
     columns = list(columns)
-    arranged = _scanned(df, order, keys, columns)
+    arranged = _scanned(df, order, keys, columns, earlier=False)
     return _project(arranged, {c: F.col(f"_next_{c}.value") for c in columns}, columns)
 
 

@@ -80,12 +80,12 @@ class ScalerModel(Model):
 
     def __init__(self, method: str, by: str | None, columns: list[str], params: DataFrame, small: bool):
         super().__init__()
-        self.method, self.by, self.columns, self.params, self.small = method, by, columns, params, small
+        self.method, self.by, self.columns, self.fitted, self.small = method, by, columns, params, small
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
         columns = [c for c in self.columns if c in dataset.columns]
         if self.by is None:
-            fitted = self.params.first()
+            fitted = self.fitted.first()
             return dataset.withColumns(
                 {
                     c: _scaled(c, F.lit(fitted[_center(c)]).cast("double"), F.lit(fitted[_spread(c)]).cast("double"))
@@ -94,7 +94,7 @@ class ScalerModel(Model):
             )
         if self.by not in dataset.columns:
             return dataset
-        known = self.params.withColumn("_known", F.lit(True))
+        known = self.fitted.withColumn("_known", F.lit(True))
         joined = attach(dataset, known, [self.by], self.small)
         scaled = {
             c: F.when(F.col("_known"), _scaled(c, F.col(_center(c)), F.col(_spread(c)))).otherwise(
@@ -109,7 +109,7 @@ class ScalerModel(Model):
             "preprocessor": "Normalizer",
             "method": self.method,
             "group_by": self.by,
-            "groups_processed": self.params.count() if self.by else 0,
+            "groups_processed": self.fitted.count() if self.by else 0,
             "is_fitted": True,
         }
 

@@ -25,6 +25,7 @@ import math
 from collections import Counter
 from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass, replace
+from decimal import Decimal
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
@@ -93,19 +94,22 @@ class Ordered:
         self,
         sums: Mapping[str, Column] | None = None,
         totals: Iterable[str] = (),
-        valid: Iterable[str] = (),
+        earlier: Iterable[str] = (),
+        later: Iterable[str] = (),
     ) -> "Ordered":
         """Add unbounded running state.
 
         ``_position`` is the 0-based row number within the key. Every name in ``sums`` becomes a
         running sum up to and including the row; names also listed in ``totals`` get the sum over the
-        key as ``<name>_total``. Every column ``c`` in ``valid`` gets ``_prev_c`` and ``_next_c``:
-        ``struct(value, at)`` of the nearest non-null value at or before / at or after the row."""
-        sums, totals, valid = dict(sums or {}), list(totals), list(valid)
+        key as ``<name>_total``. A column ``c`` in ``earlier`` gets ``_prev_c``, one in ``later`` gets
+        ``_next_c``: ``struct(value, at)`` of the nearest non-null value at or before / at or after
+        the row."""
+        sums, totals = dict(sums or {}), list(totals)
+        earlier, later = list(earlier), list(later)
         rows = self.rows.withColumns({_addend(name): term for name, term in sums.items()})
         by = list(self._partition)
         if self.split:
-            rows = self._seeded(rows, list(sums), totals, valid)
+            rows = self._seeded(rows, list(sums), totals, earlier, later)
             in_order = Window.partitionBy(*by).orderBy(_SIDE, *self.order)
             position = (
                 F.first(POSITION).over(in_order.rowsBetween(Window.unboundedPreceding, 0))
@@ -116,7 +120,12 @@ class Ordered:
             in_order = Window.partitionBy(*by).orderBy(*self.order)
             position = F.row_number().over(in_order) - 1
         upto = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        onward = in_order.rowsBetween(Window.currentRow, Window.unboundedFollowing)
+        # Backwards from the end: a frame that grows row by row, unlike one that shrinks.
+        onward = (
+            Window.partitionBy(*by)
+            .orderBy(F.desc(POSITION))
+            .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        )
         whole = Window.partitionBy(*by)
 
         rows = rows.withColumn(POSITION, position.cast("long"))
@@ -126,29 +135,32 @@ class Ordered:
                 added[f"{name}_total"] = F.max(f"{name}_total").over(whole)
             else:
                 added[f"{name}_total"] = F.sum(_addend(name)).over(whole)
-        for column in valid:
+        for column in dict.fromkeys(earlier + later):
             here = F.when(
                 F.col(column).isNotNull(), F.struct(F.col(column).alias("value"), F.col(POSITION).alias("at"))
             )
             if self.split:
                 here = F.coalesce(F.col(_carried(column)), here)
-            added[f"_prev_{column}"] = F.last(here, ignorenulls=True).over(upto)
-            added[f"_next_{column}"] = F.first(here, ignorenulls=True).over(onward)
+            if column in earlier:
+                added[f"_prev_{column}"] = F.last(here, ignorenulls=True).over(upto)
+            if column in later:
+                added[f"_next_{column}"] = F.last(here, ignorenulls=True).over(onward)
         rows = rows.withColumns(added)
         drop = [_addend(name) for name in sums]
         if self.split:
             rows = rows.filter(F.col(_SIDE) == 0)
-            drop += [_SIDE, *(_carried(column) for column in valid)]
+            drop += [_SIDE, *(_carried(column) for column in earlier + later)]
         return self.with_rows(rows.drop(*drop))
 
     def _seeded(
-        self, rows: DataFrame, sums: list[str], totals: list[str], valid: list[str]
+        self, rows: DataFrame, sums: list[str], totals: list[str], earlier: list[str], later: list[str]
     ) -> DataFrame:
         """``rows`` plus, per slice, a seed row on each side that carries its neighbours' state."""
         by = self._partition
+        sides = [("max_by", f"_last_{c}", c) for c in earlier] + [("min_by", f"_first_{c}", c) for c in later]
         within = Window.partitionBy(*by).orderBy(*self.order)
         slim = rows.select(
-            *dict.fromkeys([*by, *self.order, *valid, *(_addend(name) for name in sums)])
+            *dict.fromkeys([*by, *self.order, *earlier, *later, *(_addend(name) for name in sums)])
         ).withColumn(_RANK, F.row_number().over(within).cast("long") - 1)
         summary = slim.groupBy(*by).agg(
             F.count(F.lit(1)).alias("_rows"),
@@ -157,25 +169,22 @@ class Ordered:
                 F.expr(
                     f"{pick}(struct(`{column}` AS value, {_RANK} AS at), {_RANK})"
                     f" FILTER (WHERE `{column}` IS NOT NULL)"
-                ).alias(f"{side}_{column}")
-                for column in valid
-                for pick, side in (("max_by", "_last"), ("min_by", "_first"))
+                ).alias(side)
+                for pick, side, column in sides
             ),
         )
         slices = Window.partitionBy(*self.keys).orderBy(SLICE)
         before = slices.rowsBetween(Window.unboundedPreceding, -1)
-        after = slices.rowsBetween(1, Window.unboundedFollowing)
+        after = Window.partitionBy(*self.keys).orderBy(F.desc(SLICE)).rowsBetween(Window.unboundedPreceding, -1)
         key_wide = Window.partitionBy(*self.keys)
         summary = summary.withColumn(
             POSITION, F.coalesce(F.sum("_rows").over(before), F.lit(0)).cast("long")
         )
-        for column in valid:
-            for side in (f"_last_{column}", f"_first_{column}"):
-                moved = F.struct(
-                    F.col(f"{side}.value").alias("value"),
-                    (F.col(f"{side}.at") + F.col(POSITION)).alias("at"),
-                )
-                summary = summary.withColumn(side, F.when(F.col(side).isNotNull(), moved))
+        for _, side, _ in sides:
+            moved = F.struct(
+                F.col(f"{side}.value").alias("value"), (F.col(f"{side}.at") + F.col(POSITION)).alias("at")
+            )
+            summary = summary.withColumn(side, F.when(F.col(side).isNotNull(), moved))
         keep = [F.col(name) for name in by]
         head = summary.select(
             *keep,
@@ -185,18 +194,18 @@ class Ordered:
             *(F.sum(_addend(name)).over(key_wide).alias(f"{name}_total") for name in totals),
             *(
                 F.last(f"_last_{column}", ignorenulls=True).over(before).alias(_carried(column))
-                for column in valid
+                for column in earlier
             ),
         )
         parts = [rows.withColumn(_SIDE, F.lit(0)), head]
-        if valid:
+        if later:
             parts.append(
                 summary.select(
                     *keep,
                     F.lit(1).alias(_SIDE),
                     *(
-                        F.first(f"_first_{column}", ignorenulls=True).over(after).alias(_carried(column))
-                        for column in valid
+                        F.last(f"_first_{column}", ignorenulls=True).over(after).alias(_carried(column))
+                        for column in later
                     ),
                 )
             )
@@ -320,7 +329,7 @@ def order_key(df: DataFrame, order: Iterable[str]) -> Column:
     kinds = [df.schema[name].dataType for name in order]
     if len(order) == 2 and isinstance(kinds[0], T.TimestampType) and isinstance(kinds[1], T.IntegralType):
         micros = F.unix_micros(F.col(order[0])).cast("decimal(18,0)")
-        return (micros * F.lit(10**19).cast("decimal(20,0)") + F.col(order[1]).cast("decimal(19,0)")).cast(
+        return (micros * F.lit(Decimal(10**19)) + F.col(order[1]).cast("decimal(19,0)")).cast(
             "decimal(38,0)"
         )
     return F.struct(*order)
