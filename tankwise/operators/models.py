@@ -184,7 +184,10 @@ def _fit(train: DataFrame, label: str, columns: Iterable[str] | None, classifier
     indexed, classes = _indexed(train, label)
     prepared, columns = prepare_features(indexed, columns)
     assembler = VectorAssembler(inputCols=columns, outputCol="_features")
-    vectors = assembler.transform(prepared).select("_features", "_label").persist()
+    vectors = assembler.transform(prepared).select("_features", "_label")
+    # Training reads the vectors many times: spread them evenly, whatever partitions they came in.
+    partitions = int(train.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    vectors = vectors.repartition(partitions).persist()
     try:
         model = classifier.fit(vectors)
     finally:
