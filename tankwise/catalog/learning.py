@@ -9,6 +9,7 @@ from tankwise.catalog.preparation import CANONICAL_ORDER, canonical
 from tankwise.catalog.registry import CANONICAL, all_rounded, register
 from tankwise.functions.phases import label_code, phase_cut
 from tankwise.operators import features, models
+from tankwise.session import stage
 from tankwise.sources.readers import table
 
 LABEL_SQL = (
@@ -16,8 +17,8 @@ LABEL_SQL = (
     " WHEN co2_lpm <= 1500 THEN 2 ELSE 3 END"
 )
 INPUTS = ["co2_lpm", "do_ppm", "temp_c", "pressure_bar", "humidity"]
-# Previous CO2 readings and the other sensors predict the phase of the current one.
 MODEL_INPUTS = [
+    "co2_lpm",
     "do_ppm",
     "temp_c",
     "pressure_bar",
@@ -61,9 +62,10 @@ def ml_split_counts(spark, folder):
 
 
 def training(spark, folder):
+    """Training rows, written once: counting classes, splitting and fitting all read them."""
     rows = labelled(spark, folder)
     made = features.all_features(rows, CANONICAL_ORDER)
-    return made.select("event_id", "timestamp", "batch_id", "label", *MODEL_INPUTS)
+    return stage(made.select("event_id", "timestamp", "batch_id", "label", *MODEL_INPUTS))
 
 
 def _split(spark, folder):

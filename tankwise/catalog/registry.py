@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tankwise.session import prepare
@@ -34,13 +33,13 @@ def register(name: str, sql: str | None = None, digits: int = 6):
 def comparable(df: DataFrame, digits: int) -> DataFrame:
     columns = []
     for field in df.schema.fields:
-        column = F.col(field.name)
+        text = f"`{field.name}`"
         if isinstance(field.dataType, (T.DoubleType, T.FloatType)):
-            column = F.round(column, digits) + 0.0
+            text = f"round({text}, {digits}) + 0D AS {text}"
         elif isinstance(field.dataType, (T.TimestampType, T.TimestampNTZType)):
-            column = F.unix_micros(column.cast("timestamp"))
-        columns.append(column.alias(field.name))
-    return df.select(*columns)
+            text = f"unix_micros(CAST({text} AS TIMESTAMP)) AS {text}"
+        columns.append(text)
+    return df.selectExpr(*columns)
 
 
 def rounded(expression: str, alias: str, digits: int = 6) -> str:

@@ -95,12 +95,11 @@ class AnomalyDetector:
         arranged = self._arranged(df)
         have = arranged.rows.columns
         limits = thresholds or self.fit(arranged)
-        rolling = {"co2_rolling_mean": lambda w: F.avg("co2_rate").over(w.rowsBetween(1 - STUCK_WINDOW, 0))}
 
         def windows(w):
             stages = [self._changes(have)(w)]
             if self.co2 in have:
-                stages.append({name: build(w) for name, build in rolling.items()})
+                stages.append({"co2_rolling_mean": F.avg("co2_rate").over(w.rowsBetween(1 - STUCK_WINDOW, 0))})
             return stages
 
         rows = arranged.framed(windows, back=STUCK_WINDOW).result()

@@ -7,7 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tankwise.functions.moments import kurtosis
+from tankwise.functions.moments import rolling_stages, statistic
 from tankwise.functions.times import hours_between, minutes_between
 from tankwise.plans.ordered import POSITION, Ordered, arrange, order_key
 from tankwise.plans.params import attach, settle
@@ -81,14 +81,12 @@ def rolling_statistics(
     present = [c for c in columns if c in arranged.rows.columns]
 
     def statistics(w):
-        frame = w.rowsBetween(1 - window, 0)
-        added = {}
-        for c in present:
-            value = F.col(c)
-            added[f"{c}_rolling_mean"] = F.avg(value).over(frame)
-            added[f"{c}_rolling_std"] = F.stddev_samp(value).over(frame)
-            added[f"{c}_rolling_kurtosis"] = kurtosis(value, frame)
-        return added
+        results = {
+            f"{c}_rolling_{label}": statistic(c, window, name)
+            for c in present
+            for name, label in (("mean", "mean"), ("std", "std"), ("kurt", "kurtosis"))
+        }
+        return [*rolling_stages(present, [window], w), results]
 
     rolled = arranged.framed(statistics, back=window - 1).result()
     return rolled.withColumns(

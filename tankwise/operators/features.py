@@ -8,7 +8,7 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
-from tankwise.functions.moments import kurtosis, skew
+from tankwise.functions.moments import STATISTICS, rolling_stages, statistic
 from tankwise.functions.phases import phase_code
 from tankwise.operators.schema_map import first_value
 from tankwise.plans.ordered import Ordered, arrange
@@ -43,17 +43,13 @@ def _lags(columns: list[str], steps: list[int], w: WindowSpec) -> dict[str, Colu
     return {f"{c}_lag_{s}": F.lag(c, s).over(w) for c in columns for s in steps}
 
 
-def _rolling(columns: list[str], windows: Iterable[int], w: WindowSpec) -> dict[str, Column]:
-    added = {}
-    for c in columns:
-        value = F.col(c).cast("double")
-        for size in windows:
-            frame = w.rowsBetween(1 - size, 0)
-            added[f"{c}_rolling_mean_{size}"] = F.avg(value).over(frame)
-            added[f"{c}_rolling_std_{size}"] = F.stddev_samp(value).over(frame)
-            added[f"{c}_rolling_skew_{size}"] = skew(value, frame)
-            added[f"{c}_rolling_kurt_{size}"] = kurtosis(value, frame)
-    return added
+def _rolling(columns: list[str], windows: Iterable[int]) -> dict[str, Column]:
+    return {
+        f"{c}_rolling_{name}_{size}": statistic(c, size, name)
+        for c in columns
+        for size in windows
+        for name in STATISTICS
+    }
 
 
 def _arranged(df: DataFrame | Ordered, order: Iterable[str], keys: Iterable[str]) -> Ordered:
@@ -83,7 +79,11 @@ def rolling(
     """Mean, deviation, skewness and kurtosis over trailing frames of several lengths."""
     arranged, windows = _arranged(df, order, keys), list(windows)
     present = [c for c in columns if c in arranged.rows.columns]
-    return arranged.framed(lambda w: _rolling(present, windows, w), back=max(windows) - 1).result()
+
+    def staged(w: WindowSpec) -> list[Mapping[str, Column]]:
+        return [*rolling_stages(present, windows, w), _rolling(present, windows)]
+
+    return arranged.framed(staged, back=max(windows) - 1).result()
 
 
 def encoded_phase(df: DataFrame) -> DataFrame:
@@ -170,8 +170,9 @@ def all_features(
     rolled = present(co2, do, "valve_state", "agitator_rpm")
     steps = _lag_steps(LAG_MINUTES)
 
-    def windowed(w: WindowSpec) -> Mapping[str, Column]:
-        return _changes(changing, w) | _lags(lagged, steps, w) | _rolling(rolled, WINDOWS, w)
+    def windowed(w: WindowSpec) -> list[Mapping[str, Column]]:
+        window_columns = _changes(changing, w) | _lags(lagged, steps, w)
+        return [window_columns, *rolling_stages(rolled, WINDOWS, w), _rolling(rolled, WINDOWS)]
 
     pairs = [(co2, temperature), (co2, pressure), ("valve_state", co2), ("agitator_rpm", co2)]
     own = _calendar(time) if time in have else {}

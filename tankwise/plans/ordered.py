@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 ROWS_PER_SLICE_CONF = "spark.tankwise.rowsPerSlice"
-ROWS_PER_SLICE = 1_000_000
+ROWS_PER_SLICE = 250_000
 MAX_SLICES = 20_000
 
 SLICE = "_slice"
@@ -42,7 +42,7 @@ _RANK, _RANK_BACK, _SIDE = "_rank", "_rank_back", "_side"
 
 
 def rows_per_slice(df: DataFrame) -> int:
-    """Rows one task may order, from the session (default one million)."""
+    """Rows one task may order, from the session (default 250,000)."""
     return int(df.sparkSession.conf.get(ROWS_PER_SLICE_CONF, str(ROWS_PER_SLICE)))
 
 
@@ -72,7 +72,8 @@ class Ordered:
         """Add window columns whose frames reach ``back`` rows back and ``ahead`` rows forward.
 
         ``columns`` may return a list of mappings, each of which may use the columns of the ones
-        before; ``back`` and ``ahead`` then cover the sum of their frames."""
+        before; ``back`` and ``ahead`` then cover the sum of their frames. Names starting with an
+        underscore are dropped at the end when there are several mappings."""
         if not self.split:
             window = Window.partitionBy(*self.keys).orderBy(*self.order)
             return self.with_rows(_in_stages(self.rows, columns(window)))
@@ -305,9 +306,11 @@ def _bucketed(df: DataFrame, axis: str, splits: list[float], name: str) -> DataF
 
 
 def _in_stages(df: DataFrame, columns: Mapping[str, Column] | list[Mapping[str, Column]]) -> DataFrame:
-    for stage in columns if isinstance(columns, list) else [columns]:
-        df = df.withColumns(dict(stage))
-    return df
+    if not isinstance(columns, list):
+        return df.withColumns(dict(columns))
+    for stage in columns:
+        df = df.select("*", *(column.alias(name) for name, column in stage.items()))
+    return df.drop(*(name for stage in columns for name in stage if name.startswith("_")))
 
 
 def _addend(name: str) -> str:

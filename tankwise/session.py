@@ -19,6 +19,8 @@ def build_session(app: str = "tankwise", master: str | None = None, **conf: str)
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.ui.enabled": "false",
+        # Recording a call site for every column expression dominates the building of wide plans.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
     } | {key.replace("__", "."): value for key, value in conf.items()}
     for key, value in settings.items():
