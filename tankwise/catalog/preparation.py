@@ -393,8 +393,9 @@ def resample_median(spark, folder):
             first_value(CASE WHEN v IS NOT NULL THEN i END IGNORE NULLS) OVER behind AS ni FROM n
           WINDOW before AS (ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
                  behind AS (ORDER BY i ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))
-    SELECT timestamp_index, round(CASE WHEN v IS NOT NULL THEN v ELSE {_line('(i - pi)')} END, 6) + 0.0 AS o2_pct
+    SELECT timestamp_index, round(CASE WHEN v IS NOT NULL THEN v ELSE {_line('(i - pi)')} END, 9) + 0.0 AS o2_pct
     FROM g""",
+    digits=9,
 )
 def resample_interp(spark, folder):
     return resample.resample(telemetry(spark, folder), "timestamp_index", 5, "interpolate", columns=["o2_pct"])

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tankwise.functions.moments import rolling_stages, statistic
 from tankwise.functions.times import hours_between, minutes_between
-from tankwise.plans.ordered import POSITION, Ordered, arrange, order_key
+from tankwise.plans.ordered import POSITION, Ordered, arrange
 from tankwise.plans.params import attach, settle
 
 EPSILON = 1e-10  # fixed value: added to denominators
@@ -39,15 +39,16 @@ def batch_metrics(
     df = with_batches(df, batch, time)
     absent = {c: F.lit(None).cast("double") for c in (co2, do, pressure) if c not in df.columns}
     slim = df.withColumns(absent).select(*dict.fromkeys([batch, *order, co2, do, pressure]))
-    at = order_key(slim, order)
+    opening = F.min(F.struct(*order, F.col(do).alias("_do"), F.col(pressure).alias("_pressure")))
+    closing = F.max(F.struct(*order, F.col(pressure).alias("_pressure")))
     firsts, small = settle(
         slim.groupBy(batch).agg(
             F.max(co2).alias("_peak"),
             F.min(time).alias("_start"),
             F.max(time).alias("_end"),
-            F.min_by(do, at).alias("_first_do"),
-            F.min_by(pressure, at).alias("_first_pressure"),
-            F.max_by(pressure, at).alias("_last_pressure"),
+            opening["_do"].alias("_first_do"),
+            opening["_pressure"].alias("_first_pressure"),
+            closing["_pressure"].alias("_last_pressure"),
             F.count(F.lit(1)).alias("num_samples"),
         )
     )

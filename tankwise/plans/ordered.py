@@ -25,7 +25,6 @@ import math
 from collections import Counter
 from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass, replace
-from decimal import Decimal
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
@@ -319,20 +318,3 @@ def _addend(name: str) -> str:
 
 def _carried(name: str) -> str:
     return f"_carry_{name}"
-
-
-def order_key(df: DataFrame, order: Iterable[str]) -> Column:
-    """One sortable value for ``min_by``/``max_by``.
-
-    A (timestamp, integer) order is packed into one decimal: unlike a struct it fits the fixed-width
-    buffers of hash aggregation, so that no sort precedes the partial aggregate."""
-    order = list(order)
-    if len(order) == 1:
-        return F.col(order[0])
-    kinds = [df.schema[name].dataType for name in order]
-    if len(order) == 2 and isinstance(kinds[0], T.TimestampType) and isinstance(kinds[1], T.IntegralType):
-        micros = F.unix_micros(F.col(order[0])).cast("decimal(18,0)")
-        return (micros * F.lit(Decimal(10**19)) + F.col(order[1]).cast("decimal(19,0)")).cast(
-            "decimal(38,0)"
-        )
-    return F.struct(*order)

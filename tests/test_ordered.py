@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tankwise.plans.ordered import SLICE, arrange, order_key
+from tankwise.plans.ordered import SLICE, arrange
 from tests.frames import by_id, telemetry, to_spark
 
 ORDER = ("ts", "id")
@@ -81,12 +81,6 @@ def test_null_keys_and_times(spark):
     assert split.equals(plain)
 
 
-def test_order_key_orders_like_the_columns(spark):
-    rows = to_spark(spark, telemetry(300))
-    first = rows.agg(F.min_by("id", order_key(rows, ORDER)), F.max_by("id", order_key(rows, ORDER))).first()
-    assert tuple(first) == (0, 299)
-
-
 def test_missing_columns_are_named(spark):
     with pytest.raises(ValueError, match="nowhere"):
         arrange(spark.range(3), ["nowhere"])
