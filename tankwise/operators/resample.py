@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 
 from tankwise.operators.missing import interpolate
 from tankwise.plans.ordered import arrange
+from tankwise.plans.params import attach, settle
 from tankwise.plans.quantiles import group_quantiles
 from tankwise.sources.schemas import numeric_columns
 
 _DAY = 86_400_000_000
+_RUN = 1_000
 METHODS = ("mean", "median", "interpolate")
 
 
@@ -65,7 +67,8 @@ def resample(
     if _DAY % step:
         firsts = df.groupBy(*by).agg(F.date_trunc("day", F.min(time)).alias("_origin"))
         if by:
-            keyed, origin = df.join(firsts, by), F.col("_origin")
+            firsts, small = settle(firsts)
+            keyed, origin = attach(df, firsts, by, small, how="inner"), F.col("_origin")
         else:
             origin = firsts.scalar()
     keyed = keyed.filter(F.col(time).isNotNull()).withColumn("_bucket", bucket_start(time, step, origin))
@@ -80,16 +83,23 @@ def resample(
         filled = filled.drop("_rows").join(_medians(keyed, [*by, "_bucket"], columns), [*by, "_bucket"], "left")
 
     ends = keyed.groupBy(*by).agg(F.min("_bucket").alias("_from"), F.max("_bucket").alias("_to"))
-    grid = ends.select(
-        *by,
-        F.explode(F.sequence("_from", "_to", F.expr(f"interval {step} microseconds"))).alias("_bucket"),
-    )
+    grid = _grid(ends, by, step)
     result = grid.join(filled, [*by, "_bucket"], "left").withColumnRenamed("_bucket", time)
     if method == "interpolate":
         result = interpolate(result, [time], columns, keys=by, limit=None)
     return result.select(*by, time, *columns, *carry)
 
 
+def _grid(ends: DataFrame, by: list[str], step: int) -> DataFrame:
+    """All bucket starts between the ends: first runs of buckets, which are spread over the tasks,
+    then the buckets of each run, so that neither one row nor one task holds a long grid."""
+    partitions = int(ends.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    run, each = (F.expr(f"interval {n} microseconds") for n in (step * _RUN, step))
+    runs = ends.select(*by, "_to", F.explode(F.sequence("_from", "_to", run)).alias("_run"))
+    last = F.least(F.col("_run") + F.expr(f"interval {step * (_RUN - 1)} microseconds"), F.col("_to"))
+    return runs.repartition(partitions).select(*by, F.explode(F.sequence("_run", last, each)).alias("_bucket"))
+
+
 def _medians(df: DataFrame, by: list[str], columns: list[str]) -> DataFrame:
     long = group_quantiles(df, by, columns, [0.5])
     picks = [F.max(F.when(F.col("column") == c, F.col("q")[0])).alias(c) for c in columns]

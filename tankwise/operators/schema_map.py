@@ -7,6 +7,8 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tankwise.plans.params import attach, settle
+
 # Legacy column -> canonical column.
 LEGACY_TO_CANONICAL = {
     "timestamp_index": "timestamp",
@@ -69,8 +71,8 @@ def to_canonical(
             added["pitch_time"] = F.current_timestamp()
     df = df.withColumns(added)
     if "pitch_time" not in df.columns:
-        starts = source.groupBy("batch_id").agg(F.min("timestamp").alias("pitch_time"))
-        df = df.join(starts, "batch_id", "left")
+        starts, small = settle(source.groupBy("batch_id").agg(F.min("timestamp").alias("pitch_time")))
+        df = attach(df, starts, ["batch_id"], small)
     return df
 
 

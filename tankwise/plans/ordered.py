@@ -34,6 +34,8 @@ from pyspark.sql import types as T
 ROWS_PER_SLICE_CONF = "spark.tankwise.rowsPerSlice"
 ROWS_PER_SLICE = 250_000
 MAX_SLICES = 20_000
+_SAMPLE_PER_SLICE = 100
+_SEED = 17
 
 SLICE = "_slice"
 POSITION = "_position"
@@ -252,13 +254,14 @@ def _cut(df: DataFrame, order: tuple[str, ...], total: int, limit: int) -> DataF
     A value heavy enough to appear twice among the quantiles of the first order column gets a range
     of its own, and its rows are cut again by the second order column."""
     axis = _axis(df, order[0])
-    splits, heavy = _split_points(df, axis, _pieces(total, limit))
+    splits, heavy = _split_points(df, axis, total, _pieces(total, limit))
     df = _bucketed(df.withColumn("_axis", axis), "_axis", splits, SLICE)
     if heavy and len(order) > 1:
         is_heavy = F.col("_axis").isin(heavy)
         inner = _axis(df, order[1])
         crowded = df.filter(is_heavy)
-        splits, _ = _split_points(crowded, inner, _pieces(crowded.count(), limit))
+        size = crowded.count()
+        splits, _ = _split_points(crowded, inner, size, _pieces(size, limit))
         df = _bucketed(df.withColumn("_inner", inner), "_inner", splits, "_sub")
         df = df.withColumn(
             SLICE, F.col(SLICE) * (len(splits) + 1) + F.when(is_heavy, F.col("_sub")).otherwise(0)
@@ -282,9 +285,18 @@ def _axis(df: DataFrame, name: str) -> Column:
     raise TypeError(f"order column {name} must be a timestamp or a number to be cut into slices")
 
 
-def _split_points(df: DataFrame, axis: Column, pieces: int) -> tuple[list[float], list[float]]:
+def _split_points(df: DataFrame, axis: Column, total: int, pieces: int) -> tuple[list[float], list[float]]:
+    """Borders of ranges of about equal weight, and the values too heavy for one range.
+
+    They come from a sample, whose size depends on the number of ranges only: any borders give right
+    results, and a sketch of all rows would send one large state per input task to the last one."""
+    fraction = _SAMPLE_PER_SLICE * pieces / max(total, 1)
+    values_only = df.select(axis.alias("_value"))
+    if fraction < 1:
+        values_only = values_only.sample(fraction, _SEED)
     shares = [i / pieces for i in range(1, pieces)]
-    values = df.agg(F.percentile_approx(axis, shares, max(10_000, 4 * pieces))).first()[0] or []
+    sketch = F.percentile_approx("_value", shares, max(10_000, 4 * pieces))
+    values = values_only.agg(sketch).first()[0] or []
     values = [value for value in values if math.isfinite(value)]
     heavy = [value for value, times in Counter(values).items() if times > 1]
     points = set(values) | {math.nextafter(value, math.inf) for value in heavy}

@@ -12,17 +12,24 @@ from tankwise.plans.ordered import arrange, rows_per_slice
 
 _ACCURACY = 10_000
 _BOUNDED = 100_000
+_SAMPLE = 1_000_000
+_SEED = 23
 
 
 def table_quantiles(
-    df: DataFrame, columns: Sequence[str], shares: Sequence[float], bounded: int | None = None
+    df: DataFrame,
+    columns: Sequence[str],
+    shares: Sequence[float],
+    bounded: int | None = None,
+    sample: int = _SAMPLE,
 ) -> dict[str, list[float | None]]:
     """Quantiles of whole columns, as driver values.
 
-    Small tables use one ``percentile`` aggregate. Larger ones are narrowed: a sketch brackets the two
-    order statistics around every quantile, counts prove the bracket, and the next sketch looks only
-    inside it, until what is left fits ``bounded`` values. Each round is one scan with map-side
-    aggregation and no shuffle of rows; all columns and quantiles share it."""
+    Small tables use one ``percentile`` aggregate. Larger ones are narrowed: the quantiles of a sample
+    bracket the two order statistics around every quantile, exact counts prove or correct the
+    bracket, and the next round looks only inside it, until what is left fits ``bounded`` values. A
+    round is two scans with small map-side states and no shuffle of rows; all columns and quantiles
+    share it."""
     direct = rows_per_slice(df)
     bounded = bounded or min(_BOUNDED, direct)
     plain = {column: F.col(column).cast("double") for column in columns}
@@ -41,7 +48,7 @@ def table_quantiles(
             if sizes[column]:
                 rank = share * (sizes[column] - 1)
                 open_ranks |= {(column, math.floor(rank)), (column, math.ceil(rank))}
-    _select(df, plain, sizes, open_ranks, found, bounded)
+    _select(df, plain, sizes, open_ranks, found, bounded, sample)
 
     result: dict[str, list[float | None]] = {}
     for column in columns:
@@ -63,6 +70,7 @@ def _select(
     wanted: set[tuple[str, int]],
     found: dict[tuple[str, int], float],
     bounded: int,
+    sample: int,
 ) -> None:
     """Fill ``found`` with the order statistics ``wanted`` as (column, 0-based rank)."""
     inf = math.inf
@@ -78,9 +86,12 @@ def _select(
                 aggregates.append(F.array_sort(F.collect_list(value))[rank - below].alias(f"t{i}"))
             else:
                 share, slack = (rank - below) / inside, 2 / _ACCURACY
+                if inside > sample:
+                    value = F.when(F.col("_draw") < sample / inside, value)
+                    slack += 2 / math.sqrt(sample)
                 edges = [max(0.0, share - slack), min(1.0, share + slack)]
                 aggregates.append(F.percentile_approx(value, edges, _ACCURACY).alias(f"t{i}"))
-        seen = df.agg(*aggregates).first()
+        seen = df.withColumn("_draw", F.rand(_SEED)).agg(*aggregates).first()
         guesses = {}
         for i, task in enumerate(tasks):
             if spans[task][3] <= bounded:

@@ -39,7 +39,11 @@ def stage_root(spark: SparkSession) -> str:
 
     Only a local session without that setting gets a folder on this machine."""
     context = spark.sparkContext
-    root = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
+    root = (
+        spark.conf.get("spark.checkpoint.dir", None)
+        or context.getConf().get("spark.checkpoint.dir")
+        or context.getCheckpointDir()
+    )
     if root is None:
         if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")

@@ -8,14 +8,15 @@ from tests.frames import telemetry, to_spark
 SHARES = [0.0, 0.25, 0.5, 0.7, 0.75, 1.0]
 
 
-def test_narrowing_equals_numpy(spark, small_slices):
-    """Small limits force several rounds of brackets; heavy values end a bracket at once."""
+@pytest.mark.parametrize("sample", [60, 1_000_000])
+def test_narrowing_equals_numpy(spark, small_slices, sample):
+    """A poor sample only costs rounds. Small limits force several rounds of brackets; heavy values end a bracket at once."""
     rng = np.random.default_rng(3)
     x = np.round(rng.normal(0, 1, 5000), 4)
     x[:1700] = 0.5
     y = rng.integers(0, 7, 5000).astype(float)
     rows = spark.createDataFrame([(float(a), float(b)) for a, b in zip(x, y)], "x double, y double")
-    found = table_quantiles(rows, ["x", "y"], SHARES, bounded=20)
+    found = table_quantiles(rows, ["x", "y"], SHARES, bounded=20, sample=sample)
     np.testing.assert_allclose(found["x"], np.quantile(x, SHARES), rtol=0, atol=1e-12)
     np.testing.assert_allclose(found["y"], np.quantile(y, SHARES), rtol=0, atol=1e-12)
 
