@@ -26,8 +26,7 @@ def table_quantiles(
     """Quantiles of whole columns, as driver values.
 
     Small tables use one ``percentile`` aggregate. Larger ones are narrowed: the quantiles of a sample
-    bracket the two order statistics around every quantile, exact counts prove or correct the
-    bracket, and the next round looks only inside it, until what is left fits ``bounded`` values. A
+    bracket the two order statistics around every quantile, exact counts prove or correct the bracket, and the next round looks only inside it, until what is left fits ``bounded`` values. A
     round is two scans with small map-side states and no shuffle of rows; all columns and quantiles
     share it."""
     direct = rows_per_slice(df)
@@ -72,10 +71,14 @@ def _select(
     bounded: int,
     sample: int,
 ) -> None:
-    """Fill ``found`` with the order statistics ``wanted`` as (column, 0-based rank)."""
+    """Fill ``found`` with the order statistics ``wanted`` as (column, 0-based rank).
+
+    Every round also tests a pivot near the wanted rank, which is either the answer or leaves the
+    span; so a round always makes progress, however many equal values there are."""
     inf = math.inf
     # (column, rank) -> (low, high, values below low, values within [low, high])
     spans = {task: (-inf, inf, 0, sizes[task[0]]) for task in wanted}
+    unsampled: set[tuple[str, int]] = set()
     while spans:
         tasks = list(spans)
         aggregates = []
@@ -84,41 +87,51 @@ def _select(
             value = F.when(plain[column].between(low, high), plain[column])
             if inside <= bounded:
                 aggregates.append(F.array_sort(F.collect_list(value))[rank - below].alias(f"t{i}"))
-            else:
-                share, slack = (rank - below) / inside, 2 / _ACCURACY
-                if inside > sample:
-                    value = F.when(F.col("_draw") < sample / inside, value)
-                    slack += 2 / math.sqrt(sample)
-                edges = [max(0.0, share - slack), min(1.0, share + slack)]
-                aggregates.append(F.percentile_approx(value, edges, _ACCURACY).alias(f"t{i}"))
+                continue
+            share, slack = (rank - below) / inside, 2 / _ACCURACY
+            if inside > sample and (column, rank) not in unsampled:
+                value = F.when(F.col("_draw") < sample / inside, value)
+                slack += 2 / math.sqrt(sample)
+            shares = [max(0.0, share - slack), share, min(1.0, share + slack)]
+            aggregates.append(F.percentile_approx(value, shares, _ACCURACY).alias(f"t{i}"))
         seen = df.withColumn("_draw", F.rand(_SEED)).agg(*aggregates).first()
         guesses = {}
         for i, task in enumerate(tasks):
             if spans[task][3] <= bounded:
                 found[task] = seen[f"t{i}"]
                 del spans[task]
+            elif seen[f"t{i}"] is None:  # nothing was drawn
+                unsampled.add(task)
             else:
                 guesses[task] = tuple(seen[f"t{i}"])
         if not guesses:
-            return
+            continue
         checks = []
-        for i, (task, (low, high)) in enumerate(guesses.items()):
+        for i, (task, (low, pivot, high)) in enumerate(guesses.items()):
             value = plain[task[0]]
-            checks += [F.count_if(value < low).alias(f"b{i}"), F.count_if(value.between(low, high)).alias(f"w{i}")]
+            checks += [
+                F.struct(
+                    F.count_if(value < low),
+                    F.count_if(value < pivot),
+                    F.count_if(value <= pivot),
+                    F.count_if(value <= high),
+                ).alias(f"c{i}")
+            ]
         seen = df.agg(*checks).first()
-        for i, (task, (low, high)) in enumerate(guesses.items()):
+        for i, (task, (low, pivot, high)) in enumerate(guesses.items()):
             rank, (old_low, old_high, old_below, old_inside) = task[1], spans[task]
-            below, inside = seen[f"b{i}"], seen[f"w{i}"]
-            if rank < below:  # the bracket lies too high: what is left ends just under it
-                low, high, below, inside = old_low, math.nextafter(low, -inf), old_below, below - old_below
-            elif rank >= below + inside:  # too low: what is left starts just above it
-                low, high = math.nextafter(high, inf), old_high
-                below, inside = below + inside, old_below + old_inside - below - inside
-            if low == high:
-                found[task] = low
+            to_low, to_pivot, past_pivot, past_high = seen[f"c{i}"]
+            if to_pivot <= rank < past_pivot:
+                found[task] = pivot
                 del spans[task]
+            elif rank < to_low:
+                spans[task] = (old_low, math.nextafter(low, -inf), old_below, to_low - old_below)
+            elif rank < to_pivot:
+                spans[task] = (low, math.nextafter(pivot, -inf), to_low, to_pivot - to_low)
+            elif rank < past_high:
+                spans[task] = (math.nextafter(pivot, inf), high, past_pivot, past_high - past_pivot)
             else:
-                spans[task] = (low, high, below, inside)
+                spans[task] = (math.nextafter(high, inf), old_high, past_high, old_below + old_inside - past_high)
 
 
 def group_quantiles(
