@@ -38,3 +38,10 @@ def test_groups(spark, sliced, request):
     for row in found:
         values = frame.loc[frame.tank == row["tank"], row["column"]].dropna()
         np.testing.assert_allclose(row["q"], values.quantile(SHARES), atol=1e-9)
+
+
+def test_two_heavy_values(spark, small_slices):
+    """The wanted ranks fall on both sides of the border between two values."""
+    rows = spark.range(400).selectExpr("if(id % 2 = 0, 1D, 3D) AS x")
+    found = table_quantiles(rows, ["x"], [0.25, 0.5, 0.75], bounded=20, sample=50)
+    assert found["x"] == [1.0, 2.0, 3.0]
