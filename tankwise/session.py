@@ -60,3 +60,20 @@ def stage(df: DataFrame) -> DataFrame:
     path = f"{stage_root(spark).rstrip('/')}/staged/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def staged_path(spark: SparkSession, kind: str) -> str:
+    """A folder name of its own below the shared folder, for files that are not tables."""
+    return f"{stage_root(spark).rstrip('/')}/{kind}/{uuid.uuid4().hex}"
+
+
+def release(*staged: DataFrame) -> None:
+    """Delete what :func:`stage` wrote for these frames, once nothing reads them any more.
+
+    Only files below the shared folder's ``staged`` are deleted."""
+    for df in staged:
+        spark = df.sparkSession
+        for folder in {name.rpartition("/")[0] for name in df.inputFiles()}:
+            if "/staged/" in folder:
+                path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+                path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
