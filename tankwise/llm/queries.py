@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tankwise.llm import decontamination, exact_dedup
+from tankwise.llm import bpe, decontamination, exact_dedup
 from tankwise.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -72,3 +72,14 @@ FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN listed USING (doc_id)""",
 def op7(spark: SparkSession, folder: str) -> DataFrame:
     found = decontamination.find_passages(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
     return decontamination.contamination(found)
+
+
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+@query("op3_bpe")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    return bpe.fingerprints(table(spark, folder, "documents"), tokenizer_path())
