@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tankwise.llm import bpe, decontamination, exact_dedup
+from tankwise.llm import bpe, decontamination, exact_dedup, token_files
 from tankwise.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -83,3 +83,9 @@ def tokenizer_path() -> str:
 @query("op3_bpe")
 def op3(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.fingerprints(table(spark, folder, "documents"), tokenizer_path())
+
+
+@query("op4_token_files")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    shards = token_files.write(table(spark, folder, "documents"), tokenizer_path(), end_id=2)
+    return token_files.checksums(shards)
