@@ -6,13 +6,34 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tankwise.llm import bpe, decontamination, exact_dedup, token_files
+from tankwise.llm import bpe, decontamination, exact_dedup, jaccard_join, token_files
 from tankwise.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
+JACCARD_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i : i + 4], ' ') AS sh
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+both_ways AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k
+  FROM s AS a JOIN s AS b ON a.sh = b.sh AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+l AS (
+  SELECT a, b FROM both_ways JOIN n AS x ON x.doc_id = a JOIN n AS y ON y.doc_id = b
+  WHERE 100 * k >= 75 * (x.n + y.n - k)),
+r AS (SELECT doc_id AS a, doc_id AS b FROM d UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, c.component_id
+FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT a AS doc_id, min(b) AS component_id FROM r GROUP BY 1) AS c USING (doc_id)"""
+
+
 def query(name: str, sql: str | None = None):
     def keep(build):
         QUERIES[name] = build
@@ -89,3 +110,8 @@ def op3(spark: SparkSession, folder: str) -> DataFrame:
 def op4(spark: SparkSession, folder: str) -> DataFrame:
     shards = token_files.write(table(spark, folder, "documents"), tokenizer_path(), end_id=2)
     return token_files.checksums(shards)
+
+
+@query("op10_jaccard_join", JACCARD_SQL)
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_join.near_duplicates(table(spark, folder, "documents"))
