@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tankwise.llm import bpe, decontamination, exact_dedup, jaccard_join, token_files
+from tankwise.llm import bpe, decontamination, exact_dedup, jaccard_join, language, token_files
 from tankwise.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -115,3 +115,8 @@ def op4(spark: SparkSession, folder: str) -> DataFrame:
 @query("op10_jaccard_join", JACCARD_SQL)
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_join.near_duplicates(table(spark, folder, "documents"))
+
+
+@query("op9_language")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    return language.identify(table(spark, folder, "documents"))
