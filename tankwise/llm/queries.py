@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tankwise.llm import bpe, decontamination, exact_dedup, jaccard_join, language, token_files
+from tankwise.llm import bpe, decontamination, exact_dedup, jaccard_join, language, quality, token_files
 from tankwise.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -120,3 +120,8 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
 @query("op9_language")
 def op9(spark: SparkSession, folder: str) -> DataFrame:
     return language.identify(table(spark, folder, "documents"))
+
+
+@query("op2_quality")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.assess(table(spark, folder, "documents"), table(spark, folder, "labels"))
