@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tankwise.llm import bpe, decontamination, exact_dedup, jaccard_join, language, quality, token_files
+from tankwise.llm import bpe, decontamination, exact_dedup, jaccard_join, language, quality, token_files, warc
 from tankwise.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -125,3 +125,18 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
 @query("op2_quality")
 def op2(spark: SparkSession, folder: str) -> DataFrame:
     return quality.assess(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query(
+    "op1_warc",
+    """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, '')) AS b FROM pages),
+w AS (SELECT *, max(page_id) OVER (PARTITION BY html) AS last FROM p)
+SELECT page_id, CAST(b AS BIGINT) AS payload_bytes, sha1(html) AS payload_digest,
+       CASE WHEN b >= 1000 AND page_id < last THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN b >= 1000 AND page_id < last THEN last END AS refers_to
+FROM w""",
+)
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.read(warc.write(table(spark, folder, "pages"))).drop("url", "payload")
