@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tankwise.llm import bpe, decontamination, exact_dedup, jaccard_join, language, quality, token_files, warc
+from tankwise.llm import bpe, chat, decontamination, exact_dedup, jaccard_join, language, licenses, quality, token_files, warc
 from tankwise.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -34,6 +34,58 @@ SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, c.component_id
 FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT a AS doc_id, min(b) AS component_id FROM r GROUP BY 1) AS c USING (doc_id)"""
 
 
+def license_sql() -> str:
+    """The canonical form and both look-ups in SQL, from the same lists."""
+
+    def quoted(text: str) -> str:
+        return "'" + text.replace("'", "''") + "'"
+
+    def lines(column: str) -> str:
+        plain = f"replace(lower(coalesce({column}, '')), chr(13), chr(10))"
+        plain = f"regexp_replace({plain}, {quoted(licenses.COPYRIGHT_LINE)}, '', 'g')"
+        plain = f"regexp_replace({plain}, '[^\\p{{L}}\\p{{N}}\\n]+', ' ', 'g')"
+        for spelling, same in licenses.SPELLINGS:
+            plain = f"replace({plain}, {quoted(spelling)}, {quoted(same)})"
+        return plain
+
+    whole = "trim(regexp_replace(f, '[ \\n]+', ' ', 'g'))"
+    known = ", ".join(f"({quoted(name)}, {quoted(text)})" for name, text in licenses.KNOWN)
+    return f"""
+WITH k AS (
+  SELECT form, min(license) AS license
+  FROM (SELECT license, {whole} AS form FROM (SELECT license, {lines("text")} AS f FROM (VALUES {known}) AS v(license, text)))
+  WHERE form <> '' GROUP BY 1),
+d AS (SELECT doc_id, f, {whole} AS form FROM (SELECT doc_id, {lines("text")} AS f FROM documents)),
+l AS (SELECT DISTINCT doc_id, license
+      FROM (SELECT doc_id, trim(unnest(string_split(f, chr(10)))) AS line FROM d) JOIN k ON line = k.form),
+n AS (SELECT doc_id, string_agg(license, ',' ORDER BY license) AS notices FROM l GROUP BY 1)
+SELECT d.doc_id, sha256(d.form) AS canonical_sha256, k.license, coalesce(n.notices, '') AS notices
+FROM d LEFT JOIN k ON k.form = d.form LEFT JOIN n ON n.doc_id = d.doc_id"""
+
+
+CHAT_SQL = """
+WITH t AS (
+  SELECT conv_id, turn, role, text, row_number() OVER (PARTITION BY conv_id, turn ORDER BY role, text) AS sub
+  FROM (SELECT DISTINCT conv_id, coalesce(turn, -1) AS turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+        FROM conversations WHERE conv_id IS NOT NULL)),
+z AS (SELECT conv_id, max(turn) AS last FROM t WHERE role = 'assistant' GROUP BY 1),
+c AS (SELECT t.*, last FROM t JOIN z USING (conv_id) WHERE turn <= last),
+o AS (SELECT conv_id + 1 AS conv_id, min(text) AS other FROM c WHERE turn = last AND role = 'assistant' GROUP BY 1),
+b AS (
+  SELECT c.conv_id AS pair_id, turn, sub, role, text,
+         CASE WHEN turn = last AND role = 'assistant' THEN coalesce(other, '') ELSE text END AS alt
+  FROM c LEFT JOIN o USING (conv_id)),
+f AS (SELECT pair_id, min(turn * 1000000 + sub) AS first_at FROM b WHERE text <> alt GROUP BY 1),
+p AS (SELECT b.*, first_at IS NULL OR turn * 1000000 + sub < first_at AS early FROM b LEFT JOIN f USING (pair_id)),
+s AS (
+  SELECT pair_id, CASE WHEN early THEN 'prompt' ELSE 'chosen' END AS part, turn, sub, role, text,
+         NOT early AND role = 'assistant' AS train FROM p
+  UNION ALL
+  SELECT pair_id, 'rejected', turn, sub, role, alt, role = 'assistant' FROM p WHERE NOT early)
+SELECT pair_id, part, turn, sub, role, '<|' || role || '|>' || chr(10) || text || '<|end|>' || chr(10) AS rendered, train
+FROM s"""
+
+
 def query(name: str, sql: str | None = None):
     def keep(build):
         QUERIES[name] = build
@@ -140,3 +192,14 @@ FROM w""",
 )
 def op1(spark: SparkSession, folder: str) -> DataFrame:
     return warc.read(warc.write(table(spark, folder, "pages"))).drop("url", "payload")
+
+
+@query("op5_chat", CHAT_SQL)
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    turns = chat.turns(table(spark, folder, "conversations"))
+    return chat.preference_segments(chat.swapped_replies(turns))
+
+
+@query("op6_licenses", license_sql())
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.scan(table(spark, folder, "documents"), licenses.known_texts(spark))
