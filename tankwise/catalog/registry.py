@@ -53,7 +53,7 @@ def all_rounded(columns: Iterable[str], digits: int = 6) -> str:
 TELEMETRY = """t AS (
   SELECT event_id, ts AS timestamp_index, CAST(user_id AS VARCHAR) AS tank_id,
          strftime(ts, '%Y-%m-%d') AS batch_id,
-         CASE WHEN event_id % 17 = 0 OR event_id % 200 BETWEEN 40 AND 45 THEN NULL ELSE value * 10 END AS co2_ppm,
+         CASE WHEN (event_id % 17 = 0 AND event_id <> 0) OR event_id % 200 BETWEEN 40 AND 45 THEN NULL ELSE value * 10 END AS co2_ppm,
          k * CAST(0.21 AS DOUBLE) AS o2_pct,
          CAST(70 AS DOUBLE) + k * CAST(1.5 AS DOUBLE) AS pressure_kpa,
          CAST(10 AS DOUBLE) + CAST(event_id % 300 AS DOUBLE) / 10 AS process_temp_c,

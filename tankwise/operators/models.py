@@ -17,6 +17,9 @@ from tankwise.functions.phases import PHASES
 from tankwise.plans.ordered import POSITION, arrange
 from tankwise.sources.schemas import numeric_columns
 
+#: Classes that one model tells apart at most; more are refused.
+MAX_CLASSES = 10_000
+
 # Columns that never serve as features.
 NOT_FEATURES = ("timestamp", "timestamp_index", "batch_id", "tank_id", "phase", "phase_encoded", "strain", "style")
 
@@ -25,7 +28,7 @@ def prepare_features(df: DataFrame, columns: Iterable[str] | None = None) -> tup
     """Feature columns as doubles without gaps: an absent column and a missing value become 0."""
     columns = list(columns) if columns is not None else numeric_columns(df, exclude=NOT_FEATURES)
     if not any(c in df.columns for c in columns):
-        raise ValueError("No valid feature columns found")
+        raise ValueError("none of the feature columns is in the input")
     filled = {
         c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)) if c in df.columns else F.lit(0.0) for c in columns
     }
@@ -44,7 +47,7 @@ def stratified_split(
         F.count(F.lit(1)).alias("classes"), F.min("n").alias("smallest")
     ).first()
     if sizes["classes"] < 2:
-        raise ValueError("Need at least 2 classes for classification")
+        raise ValueError("the label needs at least two classes")
     keys = [label] if sizes["smallest"] >= 2 else []
     drawn = df.withColumn("_draw", F.xxhash64(F.lit(seed), *tiebreak))
     ranked = arrange(drawn, ["_draw", *tiebreak], keys).scan(sums={"_one": F.lit(1)}, totals=["_one"]).result()
@@ -120,7 +123,9 @@ class PhaseModel:
 
     def forecast(self, df: DataFrame, order: Iterable[str], batch: str | None = "batch_id") -> DataFrame:
         """Class, probabilities and confidence of the last row (of every batch)."""
-        latest = latest_rows(df, order, [batch] if batch else [])
+        order = list(order)
+        needed = [c for c in dict.fromkeys([*([batch] if batch else []), *order, *self.features]) if c in df.columns]
+        latest = latest_rows(df.select(*needed), order, [batch] if batch else [])
         scored = self.predict(latest)
         name = F.lit(None).cast("string")
         for code, phase in enumerate(PHASES):
@@ -171,13 +176,16 @@ def latest_rows(df: DataFrame, order: Iterable[str], keys: list[str]) -> DataFra
 
 
 def _indexed(train: DataFrame, label: str) -> tuple[DataFrame, list[int]]:
-    classes = [int(r[0]) for r in train.select(label).distinct().orderBy(label).limit(1_000).collect()]
+    """Number the classes in ``_label``. Rows without a label have none."""
+    found = train.select(F.col(label).cast("long").alias("_class")).distinct().filter("_class IS NOT NULL")
+    classes = sorted(int(r[0]) for r in found.limit(MAX_CLASSES + 1).collect())
     if len(classes) < 2:
-        raise ValueError("Need at least 2 classes for classification")
-    index = F.lit(None).cast("double")
-    for i, c in enumerate(classes):
-        index = F.when(F.col(label) == c, float(i)).otherwise(index)
-    return train.withColumn("_label", index), classes
+        raise ValueError("the label needs at least two classes")
+    if len(classes) > MAX_CLASSES:
+        raise ValueError(f"the label has more than {MAX_CLASSES} classes")
+    numbers = train.sparkSession.createDataFrame([(c, float(i)) for i, c in enumerate(classes)], "_class long, _label double")
+    joined = train.join(F.broadcast(numbers), F.col(label).cast("long") == F.col("_class"), "left")
+    return joined.drop("_class"), classes
 
 
 def _fit(train: DataFrame, label: str, columns: Iterable[str] | None, classifier) -> PhaseModel:

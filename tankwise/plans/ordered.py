@@ -5,41 +5,40 @@ rows within a key, or over the whole table when there is no key. A plain ``Windo
 into one task, which fails once a tank (or the un-keyed table) holds a large share of the rows.
 
 :func:`arrange` measures the largest group. Below ``rows_per_slice`` it keeps the plain window. Above
-it, rows are cut into *slices*: ranges of the order columns that hold about ``rows_per_slice`` rows
-each. A slice number is a pure function of the row, so recomputed tasks and different branches of a
-plan agree on it. Two building blocks then give exactly the results of the plain window:
-
-* :meth:`Ordered.framed` for bounded frames. Windows run per (key, slice); only the few rows near a
-  slice border see an incomplete frame and are computed again from the border rows alone.
-* :meth:`Ordered.scan` for unbounded state (positions, running sums, last or next valid value). Each
-  slice is summarised in one row, the summaries are scanned per key, and what a slice inherits from
-  its neighbours enters it as a seed row before and after its own rows.
-
-Both need one shuffle of the full rows. What one task may see beyond its slice is bounded by
-``MAX_SLICES`` times the frame length.
+it, rows are dealt to *slices* by one range partitioning over (keys, order): a slice holds about
+``rows_per_slice`` rows, a large key has many slices, small keys share one, and rows of one instant are
+split like any others. Any orderable type will do, for keys and order alike. The slices are written to
+the shared folder once, sorted, with a number per row that grows along (keys, order), so every branch of
+a plan sees the same slices. Two building blocks then give exactly the results of the plain window:
+
+* :meth:`Ordered.framed` for bounded frames. Every slice gets copies of the few rows of its key that come
+  just before and after it, windows run per (key, slice), and the copies are dropped. There are at most
+  as many copies as slices times the reach of the frame.
+* :meth:`Ordered.scan` for unbounded state (positions, running sums, last or next valid value). Slices of
+  keys that have several are summarised in one row each, the summaries are scanned per key, and what a
+  slice inherits from its neighbours enters it as a seed row before and after its own rows.
+
+What one task holds is a slice with its copies, and one summary row for each slice of a key.
 """
 
 from __future__ import annotations
 
-import math
-from collections import Counter
 from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass, replace
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from tankwise.session import stage
 
 ROWS_PER_SLICE_CONF = "spark.tankwise.rowsPerSlice"
 ROWS_PER_SLICE = 250_000
-MAX_SLICES = 20_000
-_SAMPLE_PER_SLICE = 100
-_SEED = 17
+#: Of a number given by ``monotonically_increasing_id``, the bits that count rows within a partition.
+_ROW_BITS = 33
 
 SLICE = "_slice"
 POSITION = "_position"
-_RANK, _RANK_BACK, _SIDE = "_rank", "_rank_back", "_side"
+_ROW, _RANK, _SIDE, _COPY = "_row", "_rank", "_side", "_copy"
 
 
 def rows_per_slice(df: DataFrame) -> int:
@@ -49,12 +48,14 @@ def rows_per_slice(df: DataFrame) -> int:
 
 @dataclass(frozen=True)
 class Ordered:
-    """Rows with a declared order within ``keys``; ``split`` tells whether slices are in use."""
+    """Rows with a declared order within ``keys``; ``split`` tells whether slices are in use, and ``cuts``
+    has, for keys in several slices, the first and last row number in each."""
 
     rows: DataFrame
     keys: tuple[str, ...]
     order: tuple[str, ...]
     split: bool
+    cuts: DataFrame | None = None
 
     @property
     def _partition(self) -> list[str]:
@@ -80,17 +81,39 @@ class Ordered:
             return self.with_rows(_in_stages(self.rows, columns(window)))
 
         inner = Window.partitionBy(*self._partition).orderBy(*self.order)
-        outer = Window.partitionBy(*self.keys).orderBy(*self.order)
-        ranked = self.rows.withColumn(_RANK, F.row_number().over(inner)).withColumn(
-            _RANK_BACK,
-            F.count(F.lit(1)).over(Window.partitionBy(*self._partition)) - F.col(_RANK) + 1,
-        )
-        near_border = (F.col(_RANK) <= back) | (F.col(_RANK_BACK) <= ahead)
-        reach = back + ahead
-        border_rows = ranked.filter((F.col(_RANK) <= reach) | (F.col(_RANK_BACK) <= reach))
-        inside = _in_stages(ranked, columns(inner)).filter(~near_border)
-        at_border = _in_stages(border_rows, columns(outer)).filter(near_border)
-        return self.with_rows(inside.unionByName(at_border).drop(_RANK, _RANK_BACK))
+        own = self.rows.withColumn(_COPY, F.lit(False))
+        both = own.unionByName(self._copies(back, ahead))
+        return self.with_rows(_in_stages(both, columns(inner)).filter(~F.col(_COPY)).drop(_COPY))
+
+    def _copies(self, back: int, ahead: int) -> DataFrame:
+        """The rows of a slice's key within reach before and after it, as rows of that slice.
+
+        Since no slice of a key is empty, at most ``back`` slices before and ``ahead`` after it matter."""
+        sides = Window.partitionBy(*self.keys).orderBy(SLICE)
+        size = F.col("_last") - F.col("_first") + 1
+        upto = F.sum(size).over(sides.rowsBetween(Window.unboundedPreceding, 0))
+        cuts = self.cuts.withColumn("_end", upto).withColumn("_start", F.col("_end") - size)
+        entry = F.struct(SLICE, "_first", "_last", "_start", "_end")
+        start, end = F.col("_start"), F.col("_end")
+        near = []
+        if back > 0:
+            found = F.collect_list(entry).over(sides.rowsBetween(-back, -1))
+            found = F.filter(found, lambda x: x["_end"] > start - back)
+            low = lambda x: F.greatest(x["_first"], x["_first"] + (start - back - x["_start"]))
+            near.append(F.transform(found, lambda x: F.struct(x[SLICE].alias("from"), low(x).alias("low"), x["_last"].alias("high"))))
+        if ahead > 0:
+            found = F.collect_list(entry).over(sides.rowsBetween(1, ahead))
+            found = F.filter(found, lambda x: x["_start"] < end + ahead)
+            high = lambda x: F.least(x["_last"], x["_first"] + (end + ahead - 1 - x["_start"]))
+            near.append(F.transform(found, lambda x: F.struct(x[SLICE].alias("from"), x["_first"].alias("low"), high(x).alias("high"))))
+        if not near:
+            return self.rows.filter(F.lit(False)).withColumn(_COPY, F.lit(True))
+        cuts = cuts.withColumns({f"_near{i}": found for i, found in enumerate(near)})
+        wanted = cuts.select(
+            F.col(SLICE).alias("_to"), F.explode(F.concat(*(f"_near{i}" for i in range(len(near))))).alias("_near")
+        ).select("_to", F.col("_near.from").alias(SLICE), F.col("_near.low").alias("_low"), F.col("_near.high").alias("_high"))
+        copies = self.rows.join(wanted, SLICE).filter(F.col(_ROW).between(F.col("_low"), F.col("_high")))
+        return copies.withColumn(SLICE, F.col("_to")).drop("_to", "_low", "_high").withColumn(_COPY, F.lit(True))
 
     def scan(
         self,
@@ -113,11 +136,9 @@ class Ordered:
         if self.split:
             rows = self._seeded(rows, list(sums), totals, earlier, later)
             in_order = Window.partitionBy(*by).orderBy(_SIDE, *self.order)
-            position = (
-                F.first(POSITION).over(in_order.rowsBetween(Window.unboundedPreceding, 0))
-                + F.row_number().over(in_order)
-                - 2
-            )
+            seeded = F.first(POSITION).over(in_order.rowsBetween(Window.unboundedPreceding, 0))
+            # A slice without a seed has all rows of its key.
+            position = F.coalesce(seeded - 1, F.lit(0)) + F.row_number().over(in_order) - 1
         else:
             in_order = Window.partitionBy(*by).orderBy(*self.order)
             position = F.row_number().over(in_order) - 1
@@ -134,7 +155,8 @@ class Ordered:
         added: dict[str, Column] = {name: F.sum(_addend(name)).over(upto) for name in sums}
         for name in totals:
             if self.split:
-                added[f"{name}_total"] = F.max(f"{name}_total").over(whole)
+                own_total = F.sum(_addend(name)).over(whole)
+                added[f"{name}_total"] = F.coalesce(F.max(f"{name}_total").over(whole), own_total)
             else:
                 added[f"{name}_total"] = F.sum(_addend(name)).over(whole)
         for column in dict.fromkeys(earlier + later):
@@ -157,7 +179,8 @@ class Ordered:
     def _seeded(
         self, rows: DataFrame, sums: list[str], totals: list[str], earlier: list[str], later: list[str]
     ) -> DataFrame:
-        """``rows`` plus, per slice, a seed row on each side that carries its neighbours' state."""
+        """``rows`` plus, per slice of a key with several, a seed row on each side that carries its
+        neighbours' state."""
         by = self._partition
         sides = [("max_by", f"_last_{c}", c) for c in earlier] + [("min_by", f"_first_{c}", c) for c in later]
         within = Window.partitionBy(*by).orderBy(*self.order)
@@ -179,6 +202,7 @@ class Ordered:
         before = slices.rowsBetween(Window.unboundedPreceding, -1)
         after = Window.partitionBy(*self.keys).orderBy(F.desc(SLICE)).rowsBetween(Window.unboundedPreceding, -1)
         key_wide = Window.partitionBy(*self.keys)
+        summary = summary.withColumn("_slices", F.count(F.lit(1)).over(key_wide)).filter("_slices > 1")
         summary = summary.withColumn(
             POSITION, F.coalesce(F.sum("_rows").over(before), F.lit(0)).cast("long")
         )
@@ -217,8 +241,8 @@ class Ordered:
         return seeded
 
     def result(self) -> DataFrame:
-        """The rows without the slice number."""
-        return self.rows.drop(SLICE)
+        """The rows without slice and row numbers."""
+        return self.rows.drop(SLICE, _ROW)
 
 
 def arrange(
@@ -226,8 +250,8 @@ def arrange(
 ) -> Ordered:
     """Declare the row order of ``df`` and cut slices when a group exceeds ``limit`` rows.
 
-    ``order`` must be a total order within ``keys``. Only its leading columns are used to cut
-    slices, and those must be timestamps or numbers."""
+    ``order`` must be a total order within ``keys``; all its columns, and the keys, may be of any type
+    that has an order."""
     order, keys = tuple(order), tuple(keys)
     missing = [name for name in (*order, *keys) if name not in df.columns]
     if missing:
@@ -236,7 +260,11 @@ def arrange(
     largest, total = _group_size(df, keys)
     if largest <= limit:
         return Ordered(df, keys, order, split=False)
-    return Ordered(_cut(df, order, total, limit), keys, order, split=True)
+    rows = _cut(df, order, keys, max(2, -(-total // limit)))
+    sizes = rows.groupBy(*keys, SLICE).agg(F.min(_ROW).alias("_first"), F.max(_ROW).alias("_last"))
+    slices = F.count(F.lit(1)).over(Window.partitionBy(*keys))
+    cuts = stage(sizes.withColumn("_slices", slices).filter("_slices > 1").drop("_slices"))
+    return Ordered(rows, keys, order, split=True, cuts=cuts)
 
 
 def _group_size(df: DataFrame, keys: tuple[str, ...]) -> tuple[int, int]:
@@ -248,72 +276,12 @@ def _group_size(df: DataFrame, keys: tuple[str, ...]) -> tuple[int, int]:
     return found["largest"] or 0, found["total"] or 0
 
 
-def _cut(df: DataFrame, order: tuple[str, ...], total: int, limit: int) -> DataFrame:
-    """Add the slice number; at most ``MAX_SLICES`` ranges of equal weight per level.
-
-    A value heavy enough to appear twice among the quantiles of the first order column gets a range
-    of its own, and its rows are cut again by the second order column."""
-    axis = _axis(df, order[0])
-    splits, heavy = _split_points(df, axis, total, _pieces(total, limit))
-    df = _bucketed(df.withColumn("_axis", axis), "_axis", splits, SLICE)
-    if heavy and len(order) > 1:
-        is_heavy = F.col("_axis").isin(heavy)
-        inner = _axis(df, order[1])
-        crowded = df.filter(is_heavy)
-        size = crowded.count()
-        splits, _ = _split_points(crowded, inner, size, _pieces(size, limit))
-        df = _bucketed(df.withColumn("_inner", inner), "_inner", splits, "_sub")
-        df = df.withColumn(
-            SLICE, F.col(SLICE) * (len(splits) + 1) + F.when(is_heavy, F.col("_sub")).otherwise(0)
-        ).drop("_inner", "_sub")
-    return df.drop("_axis")
-
-
-def _pieces(total: int, limit: int) -> int:
-    return max(2, min(MAX_SLICES, math.ceil(total / limit)))
-
-
-def _axis(df: DataFrame, name: str) -> Column:
-    """A double that never decreases along the order of the column."""
-    kind = df.schema[name].dataType
-    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        return F.unix_micros(F.col(name).cast("timestamp")).cast("double")
-    if isinstance(kind, T.DateType):
-        return F.unix_date(F.col(name)).cast("double")
-    if isinstance(kind, T.NumericType):
-        return F.col(name).cast("double")
-    raise TypeError(f"order column {name} must be a timestamp or a number to be cut into slices")
-
-
-def _split_points(df: DataFrame, axis: Column, total: int, pieces: int) -> tuple[list[float], list[float]]:
-    """Borders of ranges of about equal weight, and the values too heavy for one range.
-
-    They come from a sample, whose size depends on the number of ranges only: any borders give right
-    results, and a sketch of all rows would send one large state per input task to the last one."""
-    fraction = _SAMPLE_PER_SLICE * pieces / max(total, 1)
-    values_only = df.select(axis.alias("_value"))
-    if fraction < 1:
-        values_only = values_only.sample(fraction, _SEED)
-    shares = [i / pieces for i in range(1, pieces)]
-    sketch = F.percentile_approx("_value", shares, max(10_000, 4 * pieces))
-    values = values_only.agg(sketch).first()[0] or []
-    values = [value for value in values if math.isfinite(value)]
-    heavy = [value for value, times in Counter(values).items() if times > 1]
-    points = set(values) | {math.nextafter(value, math.inf) for value in heavy}
-    return [-math.inf, *sorted(points), math.inf], heavy
-
-
-def _bucketed(df: DataFrame, axis: str, splits: list[float], name: str) -> DataFrame:
-    """Number of the range that ``axis`` falls into; nulls order first and take number 0."""
-    if len(splits) < 3:
-        return df.withColumn(name, F.lit(0).cast("long"))
-    bucketizer = Bucketizer(splits=splits, inputCol="_safe", outputCol="_found", handleInvalid="keep")
-    safe = df.withColumn("_safe", F.coalesce(F.col(axis), F.lit(-math.inf)))
-    return (
-        bucketizer.transform(safe)
-        .withColumn(name, F.col("_found").cast("long"))
-        .drop("_safe", "_found")
-    )
+def _cut(df: DataFrame, order: tuple[str, ...], keys: tuple[str, ...], pieces: int) -> DataFrame:
+    """``df`` in ``pieces`` ranges of (keys, order), written once, with slice and row numbers."""
+    by = list(dict.fromkeys([*keys, *order]))
+    dealt = df.repartitionByRange(pieces, *by).sortWithinPartitions(*by)
+    numbered = dealt.withColumn(_ROW, F.monotonically_increasing_id())
+    return stage(numbered.withColumn(SLICE, F.shiftright(_ROW, _ROW_BITS)))
 
 
 def _in_stages(df: DataFrame, columns: Mapping[str, Column] | list[Mapping[str, Column]]) -> DataFrame:

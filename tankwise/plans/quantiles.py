@@ -14,6 +14,8 @@ _ACCURACY = 10_000
 _BOUNDED = 100_000
 _SAMPLE = 1_000_000
 _SEED = 23
+#: Every round at least halves what is open, but for bad luck with a sample.
+_ROUNDS = 200
 
 
 def table_quantiles(
@@ -25,13 +27,13 @@ def table_quantiles(
 ) -> dict[str, list[float | None]]:
     """Quantiles of whole columns, as driver values.
 
-    Small tables use one ``percentile`` aggregate. Larger ones are narrowed: the quantiles of a sample
+    NULL and NaN count as missing. Small tables use one ``percentile`` aggregate. Larger ones are narrowed: the quantiles of a sample
     bracket the two order statistics around every quantile, exact counts prove or correct the bracket, and the next round looks only inside it, until what is left fits ``bounded`` values. A
     round is two scans with small map-side states and no shuffle of rows; all columns and quantiles
     share it."""
     direct = rows_per_slice(df)
     bounded = bounded or min(_BOUNDED, direct)
-    plain = {column: F.col(column).cast("double") for column in columns}
+    plain = {column: _known(column) for column in columns}
     counts = df.agg(*(F.count(plain[c]).alias(f"n{i}") for i, c in enumerate(columns))).first()
     sizes = {column: counts[f"n{i}"] for i, column in enumerate(columns)}
     if max(sizes.values(), default=0) <= direct:
@@ -62,6 +64,12 @@ def table_quantiles(
     return result
 
 
+def _known(column: str) -> Column:
+    """The values of a column as doubles; NaN counts as missing."""
+    value = F.col(column).cast("double")
+    return F.when(~F.isnan(value), value)
+
+
 def _select(
     df: DataFrame,
     plain: dict[str, Column],
@@ -79,7 +87,9 @@ def _select(
     # (column, rank) -> (low, high, values below low, values within [low, high])
     spans = {task: (-inf, inf, 0, sizes[task[0]]) for task in wanted}
     unsampled: set[tuple[str, int]] = set()
-    while spans:
+    for _ in range(_ROUNDS):
+        if not spans:
+            return
         tasks = list(spans)
         aggregates = []
         for i, (column, rank) in enumerate(tasks):
@@ -132,6 +142,8 @@ def _select(
                 spans[task] = (math.nextafter(pivot, inf), high, past_pivot, past_high - past_pivot)
             else:
                 spans[task] = (math.nextafter(high, inf), old_high, past_high, old_below + old_inside - past_high)
+    if spans:
+        raise RuntimeError(f"quantiles not found in {_ROUNDS} rounds; did the input change meanwhile?")
 
 
 def group_quantiles(
@@ -146,7 +158,7 @@ def group_quantiles(
         *by,
         F.explode(
             F.array(
-                *(F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns)
+                *(F.struct(F.lit(c).alias("column"), _known(c).alias("value")) for c in columns)
             )
         ).alias("_cell"),
     ).select(*by, "_cell.column", "_cell.value")

@@ -30,8 +30,8 @@ def read_csv_inferred(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
-    """Parquet with zone-less timestamps taken as UTC."""
-    df = prepare(spark).read.parquet(path)
+    """Parquet with zone-less timestamps taken as UTC and NaN as NULL."""
+    df = nan_to_null(prepare(spark).read.parquet(path))
     casts = {
         f.name: F.col(f.name).cast("timestamp")
         for f in df.schema.fields

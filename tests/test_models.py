@@ -33,7 +33,7 @@ def test_features_fill_gaps_and_absent_columns(spark):
     assert tuple(made.first()) == (1.0, 0.0, 0.0) and names == ["a", "b", "c"]
     _, chosen = models.prepare_features(spark.createDataFrame([("x", 1, 2.0)], "batch_id string, phase_encoded int, v double"))
     assert chosen == ["v"]
-    with pytest.raises(ValueError, match="No valid feature columns"):
+    with pytest.raises(ValueError, match="none of the feature columns"):
         models.prepare_features(spark.range(1), ["z"])
 
 
@@ -49,7 +49,7 @@ def test_split_is_exact_and_repeatable(rows, sliced, request):
 
 
 def test_split_special_cases(spark):
-    with pytest.raises(ValueError, match="at least 2 classes"):
+    with pytest.raises(ValueError, match="at least two classes"):
         models.stratified_split(spark.range(5).withColumn("label", F.lit(1)), "label", ["id"])
     lonely = spark.range(11).withColumn("label", (F.col("id") == 3).cast("int"))
     assert models.stratified_split(lonely, "label", ["id"]).filter("is_test").count() == 2
@@ -93,7 +93,7 @@ def test_fit_predict_save_load(spark, rows, kind, tmp_path):
 
 
 def test_one_class_cannot_be_fitted(spark):
-    with pytest.raises(ValueError, match="at least 2 classes"):
+    with pytest.raises(ValueError, match="at least two classes"):
         models.fit_forest(spark.range(4).withColumn("label", F.lit(0)), "label", ["id"])
 
 
@@ -113,3 +113,16 @@ def test_future_phase(rows, sliced, request):
     expected = found["phase"].shift(-30)
     assert found["future_phase"].iloc[:-30].tolist() == expected.iloc[:-30].tolist()
     assert found["future_phase"].iloc[-30:].isna().all()
+
+
+def test_many_classes(spark):
+    """None is dropped, and the plan doesn't grow with them; too many are refused."""
+    rows = spark.range(3_600).selectExpr("int(id % 1200) * 3 AS label", "double(id) AS v")
+    indexed, classes = models._indexed(rows.unionByName(spark.createDataFrame([(None, 0.0)], "label int, v double")), "label")
+    assert classes == [3 * k for k in range(1200)]
+    assert indexed.filter("_label IS NULL").count() == 1
+    assert indexed.filter("label = 3 * _label").count() == 3_600
+    with pytest.raises(ValueError, match="more than"):
+        models._indexed(spark.range(models.MAX_CLASSES + 1).selectExpr("int(id) AS label"), "label")
+    with pytest.raises(ValueError, match="at least two"):
+        models._indexed(rows.filter("label = 3"), "label")

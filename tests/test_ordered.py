@@ -84,3 +84,47 @@ def test_null_keys_and_times(spark):
 def test_missing_columns_are_named(spark):
     with pytest.raises(ValueError, match="nowhere"):
         arrange(spark.range(3), ["nowhere"])
+
+
+def check_slices(rows, order, keys, limit, reach=(11, 4)):
+    """Equal to the plain window, with slices of bounded size and few copies."""
+    back, ahead = reach
+
+    def columns(w):
+        return {"total": F.sum("x").over(w.rowsBetween(-back, ahead)), "n": F.count(F.lit(1)).over(w.rowsBetween(-back, ahead))}
+
+    arranged = arrange(rows, order, keys, limit)
+    assert arranged.split
+    sizes = [r["count"] for r in arranged.rows.groupBy(SLICE).count().collect()]
+    assert len(sizes) <= -(-rows.count() // limit) and max(sizes) <= max(3 * limit, 20)
+    assert arranged._copies(back, ahead).count() <= (len(sizes) - 1) * (back + ahead)
+    mine = by_id(arranged.framed(columns, back, ahead).result(), "total", "n")
+    plain = by_id(rows.withColumns(columns(Window.partitionBy(*keys).orderBy(*order))), "total", "n")
+    assert mine.equals(plain)
+    scanned = arranged.scan(sums={"_sum": F.col("x")}, totals=["_sum"], earlier=["gap"], later=["gap"]).result()
+    usual = arrange(rows, order, keys, 10**9).scan(sums={"_sum": F.col("x")}, totals=["_sum"], earlier=["gap"], later=["gap"]).result()
+    names = ("_position", "_sum", "_sum_total", "_prev_gap.value", "_next_gap.at")
+    assert by_id(scanned, *names).equals(by_id(usual, *names))
+
+
+def test_many_heavy_instants(spark):
+    """Coarse times that many tanks share: every instant is cut, and slices don't multiply."""
+    rows = spark.range(6_000).selectExpr(
+        "id", "timestamp_seconds(id % 20 * 300) AS ts", "concat('tank', id % 300) AS tank",
+        "id * 7 % 13 AS x", "if(id % 31 = 0, id, NULL) AS gap",
+    )
+    check_slices(rows, ("ts", "tank", "id"), (), 200)
+    check_slices(rows, ("tank", "ts", "id"), (), 200)  # a string first
+
+
+def test_one_hot_tank_among_many_small_ones(spark):
+    rows = spark.range(6_000).selectExpr(
+        "id", "timestamp_seconds(id) AS ts", "if(id < 3000, 'hot', concat('tank', id % 100)) AS tank",
+        "id * 7 % 13 AS x", "if(id % 31 = 0, id, NULL) AS gap",
+    )
+    check_slices(rows, ("ts", "id"), ("tank",), 250)
+
+
+def test_slices_shorter_than_the_frame(spark):
+    rows = spark.range(300).selectExpr("id", "id AS ts", "id % 5 AS x", "if(id % 9 = 0, id, NULL) AS gap")
+    check_slices(rows, ("ts",), (), 3, reach=(25, 10))

@@ -45,3 +45,15 @@ def test_two_heavy_values(spark, small_slices):
     rows = spark.range(400).selectExpr("if(id % 2 = 0, 1D, 3D) AS x")
     found = table_quantiles(rows, ["x"], [0.25, 0.5, 0.75], bounded=20, sample=50)
     assert found["x"] == [1.0, 2.0, 3.0]
+
+
+def test_nan_counts_as_missing(spark, small_slices):
+    """The same with and without narrowing."""
+    rows = spark.range(500).selectExpr("if(id % 3 = 0, double('NaN'), double(id)) AS x", "id % 2 AS g")
+    kept = [float(k) for k in range(500) if k % 3]
+    narrowed = table_quantiles(rows, ["x"], SHARES, bounded=20, sample=60)["x"]
+    np.testing.assert_allclose(narrowed, np.quantile(kept, SHARES))
+    spark.conf.set("spark.tankwise.rowsPerSlice", "100000")
+    assert table_quantiles(rows, ["x"], SHARES)["x"] == pytest.approx(narrowed)
+    for row in group_quantiles(rows, ["g"], ["x"], SHARES).collect():
+        np.testing.assert_allclose(row["q"], np.quantile([k for k in kept if k % 2 == row["g"]], SHARES))
