@@ -14,6 +14,7 @@ import functools
 import hashlib
 import heapq
 import json
+import re
 import unicodedata
 from collections.abc import Callable, Iterable, Iterator
 from pathlib import Path
@@ -32,6 +33,9 @@ CACHE = 250_000
 
 # What counts as white space in the tokenizer's patterns.
 _SPACE = r"\t\n\v\f\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+#: Characters below this one are Latin, without combining marks.
+_LATIN = "\u0180"
+_BEYOND = re.compile(f"[{_LATIN}-\U0010ffff]")
 _SPACES = regex.compile(f"[{_SPACE}]+")
 #: str.split() also splits at these, which the tokenizer takes for ordinary characters.
 _NOT_SPACE = regex.compile("[\x1c-\x1f]")
@@ -63,6 +67,15 @@ def piece_pattern(written: str) -> regex.Pattern:
     return regex.compile(written.replace("\\s", _SPACE))
 
 
+def latin_pattern(written: str) -> re.Pattern:
+    """The same for lower-cased texts of Latin characters, for the faster engine."""
+    every = [chr(p) for p in range(ord(_LATIN))]
+    for kind in "LN":
+        members = "".join(re.escape(c) for c in every if unicodedata.category(c)[0] == kind)
+        written = written.replace(f"[\\p{{{kind}}}]", f"[{members}]").replace(f"\\p{{{kind}}}", members)
+    return re.compile(written.replace("\\s", _SPACE))
+
+
 class Cache(dict):
     """A mapping that works out missing values. When a generation is full it becomes the old one, and
     what is asked for again moves to the new one; so memory is bounded and frequent keys stay."""
@@ -75,11 +88,17 @@ class Cache(dict):
         value = self.old.get(key)
         if value is None:
             value = self.make(key)
+        self.put(key, value)
+        return value
+
+    def knows(self, key) -> bool:
+        return key in self or key in self.old
+
+    def put(self, key, value) -> None:
         if len(self) >= self.size:
             self.old = dict(self)
             self.clear()
         self[key] = value
-        return value
 
 
 def byte_letters() -> list[str]:
@@ -90,6 +109,13 @@ def byte_letters() -> list[str]:
     return [chr(b) if b in visible else chr(next(rest)) for b in range(256)]
 
 
+def chunks_of(text: str) -> list[str]:
+    """The parts of a text between white space."""
+    if _NOT_SPACE.search(text):
+        return [chunk for chunk in _SPACES.split(text) if chunk]
+    return text.split()
+
+
 class Tokenizer:
     """An encoder and decoder read from a tokenizer file (byte-level BPE with an end-of-word mark)."""
 
@@ -103,61 +129,70 @@ class Tokenizer:
         added = {t["content"]: t["id"] for t in definition["added_tokens"]}
         self.strings = {number: string for string, number in {**vocabulary, **added}.items()}
         self.added = added
-        self.ids = vocabulary
-        self.ranks = {
-            tuple(pair if isinstance(pair, list) else pair.split(" ")): rank
-            for rank, pair in enumerate(model["merges"])
-        }
-        self.letters = byte_letters()
-        splits = definition["pre_tokenizer"]["pretokenizers"]
-        self.piece = piece_pattern(splits[0]["pattern"]["Regex"])
+        #: Rank of a pair of ids, and the id that each rank makes.
+        self.ranks, self.made = {}, []
+        for rank, pair in enumerate(model["merges"]):
+            left, right = pair if isinstance(pair, list) else pair.split(" ")
+            self.ranks[vocabulary[left] << 32 | vocabulary[right]] = rank
+            self.made.append(vocabulary[left + right])
+        letters = byte_letters()
+        self.inner = [vocabulary.get(letter) for letter in letters]
+        self.final = [vocabulary.get(letter + self.end) for letter in letters]
+        written = definition["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
+        self.piece, self.latin = piece_pattern(written), latin_pattern(written)
         self.special = regex.compile("(" + "|".join(map(regex.escape, sorted(added, key=len, reverse=True))) + ")")
         self.pieces = Cache(self._merged)
         self.chunks = Cache(self._chunk)
 
-    def merge(self, symbols: list[str]) -> list[str]:
-        """Apply the merges to a sequence of symbols."""
+    def merge(self, symbols: list[int]) -> list[int]:
+        """Apply the merges to a sequence of ids."""
         n, ranks = len(symbols), self.ranks
         symbols = list(symbols)
-        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         queue = [
-            (ranks[pair], at) for at, pair in enumerate(zip(symbols, symbols[1:])) if pair in ranks
+            rank << 32 | at
+            for at in range(n - 1)
+            if (rank := ranks.get(symbols[at] << 32 | symbols[at + 1])) is not None
         ]
         heapq.heapify(queue)
-        gone = [False] * n
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         while queue:
-            rank, at = heapq.heappop(queue)
-            if gone[at]:
-                continue
+            entry = heapq.heappop(queue)
+            at, rank = entry & 0xFFFFFFFF, entry >> 32
             right = after[at]
-            if right >= n or ranks.get((symbols[at], symbols[right])) != rank:
-                continue  # stale: one of the two has changed since
-            symbols[at] += symbols[right]
-            gone[right] = True
+            # Stale: the left symbol is gone (-1), or one of the two has changed since.
+            if right >= n or symbols[at] < 0 or ranks.get(symbols[at] << 32 | symbols[right]) != rank:
+                continue
+            symbols[at] = now = self.made[rank]
+            symbols[right] = -1
             after[at] = following = after[right]
             if following < n:
                 before[following] = at
-                fresh_rank = ranks.get((symbols[at], symbols[following]))
-                if fresh_rank is not None:
-                    heapq.heappush(queue, (fresh_rank, at))
+                rank = ranks.get(now << 32 | symbols[following])
+                if rank is not None:
+                    heapq.heappush(queue, rank << 32 | at)
             previous = before[at]
             if previous >= 0:
-                fresh_rank = ranks.get((symbols[previous], symbols[at]))
-                if fresh_rank is not None:
-                    heapq.heappush(queue, (fresh_rank, previous))
-        return [symbol for symbol, left in zip(symbols, gone) if not left]
+                rank = ranks.get(symbols[previous] << 32 | now)
+                if rank is not None:
+                    heapq.heappush(queue, rank << 32 | previous)
+        return [symbol for symbol in symbols if symbol >= 0]
 
     def _merged(self, piece: str) -> tuple[int, ...]:
-        letters = self.letters
-        symbols = [letters[b] for b in piece.encode()]
-        symbols[-1] += self.end
-        ids = self.ids
-        return tuple(ids[s] for s in self.merge(symbols) if s in ids)
+        data = piece.encode()
+        symbols = [self.inner[b] for b in data]
+        symbols[-1] = self.final[data[-1]]
+        return tuple(self.merge(symbols))
+
+    def split(self, chunk: str) -> list[str]:
+        """The pieces of a text without white space and special tokens."""
+        if chunk.isascii() or not _BEYOND.search(chunk):  # nothing to compose, and all Unicode versions agree on the letters
+            lower = chunk.lower()
+            return [lower] if lower.isalpha() else self.latin.findall(lower)
+        return self.piece.findall(self.normalize(chunk))
 
     def _chunk(self, chunk: str) -> tuple[int, ...]:
-        """Ids of a text without white space and special tokens."""
         found: list[int] = []
-        for piece in self.piece.findall(self.normalize(chunk)):
+        for piece in self.split(chunk):
             found += self.pieces[piece]
         return tuple(found)
 
@@ -175,8 +210,7 @@ class Tokenizer:
         return found
 
     def _plain(self, text: str, found: list[int]) -> None:
-        words = _SPACES.split(text) if _NOT_SPACE.search(text) else text.split()
-        for ids in map(self.chunks.__getitem__, words):
+        for ids in map(self.chunks.__getitem__, chunks_of(text)):
             found += ids
 
     def decode(self, ids: Iterable[int]) -> str:
