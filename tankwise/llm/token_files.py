@@ -9,8 +9,11 @@ position of a shard in the whole is the running sum of one number per shard."""
 
 from __future__ import annotations
 
+import array
 import functools
+import itertools
 import struct
+import sys
 import uuid
 import zlib
 from collections.abc import Iterable, Iterator
@@ -24,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tankwise.llm import files
-from tankwise.llm.bpe import _NOT_SPACE, _SPACES, Cache, small
+from tankwise.llm.bpe import Cache, chunks_of, load, small
 from tankwise.llm.common import picked
 from tankwise.llm.elias_fano import EliasFano, encode
 from tankwise.session import stage
@@ -39,27 +42,54 @@ READ_IDS = 1 << 21
 class LibraryEncoder:
     """Ids of whole texts by the tokenizers library.
 
-    White space ends every token, so texts are encoded by their space-separated chunks, whose ids are kept
-    in a bounded cache. Texts in which a special token's string may occur are encoded as they are."""
+    White space ends every token, and so does the end of a piece of the tokenizer's pattern. Pieces that
+    are not in a bounded cache are given to the library many at a time with spaces between; the last id of
+    each piece is one with an end-of-word mark. Texts in which a special token's string may occur are
+    encoded as they are."""
 
     def __init__(self, path: str) -> None:
         self.tokenizer = tokenizers.Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
-        self.chunks = Cache(lambda chunk: self.packed(self.whole(chunk)))
+        own = load(path)
+        self.split = own.split
+        self.final = {number for number, string in own.strings.items() if string.endswith(own.end)}
+        self.pieces = Cache(lambda piece: self.packed(self.whole(piece)))
+        self.chunks = Cache(lambda chunk: b"".join([self.pieces[p] for p in self.split(chunk)]))
 
     def whole(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
     def packed(self, ids: Iterable[int]) -> bytes:
-        return np.array(ids, f"<u{self.width}").tobytes()
-
-    def encode(self, text: str) -> bytes:
-        if "<|" in text:
-            return self.packed(self.whole(text))
-        words = _SPACES.split(text) if _NOT_SPACE.search(text) else text.split()
-        return b"".join(map(self.chunks.__getitem__, words))
+        packed = array.array("H" if self.width == 2 else "I", ids)
+        if sys.byteorder == "big":
+            packed.byteswap()
+        return packed.tobytes()
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Packed ids of each text."""
+        special = ["<|" in text for text in texts]
+        parts = [[] if odd else chunks_of(text) for odd, text in zip(special, texts)]
+        self._learn({chunk for chunk in set().union(*parts) if not self.chunks.knows(chunk)})
+        known = self.chunks.__getitem__
+        return [
+            self.packed(self.whole(text)) if odd else b"".join(map(known, part))
+            for odd, text, part in zip(special, texts, parts)
+        ]
+
+    def _learn(self, chunks: set[str]) -> None:
+        split = {chunk: self.split(chunk) for chunk in chunks}
+        new = list({piece for pieces in split.values() for piece in pieces if not self.pieces.knows(piece)})
+        ids, at = self.whole(" ".join(new)), 0
+        for piece in new:
+            end = at
+            while ids[end] not in self.final:
+                end += 1
+            self.pieces.put(piece, self.packed(ids[at : end + 1]))
+            at = end + 1
+        for chunk, pieces in split.items():
+            self.chunks.put(chunk, b"".join([self.pieces[piece] for piece in pieces]))
 
 
 @functools.lru_cache(maxsize=2)
@@ -67,12 +97,19 @@ def encoder(path: str) -> LibraryEncoder:
     return LibraryEncoder(path)
 
 
-def _write_shard(out, texts: Iterable[tuple[int | None, str]], coder: LibraryEncoder, end_id: int) -> dict:
+def _write_shard(out, parts: Iterable[pa.RecordBatch], coder: LibraryEncoder, end_id: int) -> dict:
     """Write one shard of rows in ascending order (null ids first)."""
     end = coder.packed([end_id])
     bounds, ids, nulls, total = [0], [], 0, 0
-    for number, text in texts:
-        coded = coder.encode(text) + end
+    rows = (
+        pair
+        for part in parts
+        for pair in zip(
+            part.column("doc_id").to_pylist(), coder.encode([t or "" for t in part.column("text").to_pylist()])
+        )
+    )
+    for number, coded in rows:
+        coded += end
         out.write(coded)
         total += len(coded) // coder.width
         bounds.append(total)
@@ -134,20 +171,15 @@ def write(docs: DataFrame, path: str, end_id: int, id: str = "doc_id", text: str
     dealt = rows.repartitionByRange("doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = encoder(path)
-        texts = (
-            (number, t or "")
-            for part in small(batches)
-            for number, t in zip(part.column("doc_id").to_pylist(), part.column("text").to_pylist())
-        )
-        first = next(texts, None)
+        parts = small(batches)
+        first = next(parts, None)
         if first is None:
             return
         system, where = files.created(target)
         shard = TaskContext.get().partitionId()
         name = f"{shard:06d}-{uuid.uuid4().hex}.tok"
         with system.open_output_stream(f"{where}/{name}") as out:
-            made = _write_shard(out, _chain(first, texts), coder, end_id)
+            made = _write_shard(out, itertools.chain([first], parts), encoder(path), end_id)
         yield pa.RecordBatch.from_pylist([{"shard": shard, "folder": target, "file": name, **made}])
 
     shards = stage(dealt.mapInArrow(run, "shard long, folder string, file string, documents long, ids long"))
@@ -155,11 +187,6 @@ def write(docs: DataFrame, path: str, end_id: int, id: str = "doc_id", text: str
     return shards.withColumn("base", F.coalesce(F.sum("ids").over(before), F.lit(0)))
 
 
-def _chain(first, rest):
-    yield first
-    yield from rest
-
-
 def read(shards: DataFrame) -> DataFrame:
     """One row per document from the files: ``doc_id, start, n_tokens, ids`` (``array<int>``)."""
     schema = "doc_id long, start long, n_tokens long, ids array<int>"
