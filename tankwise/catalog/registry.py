@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from tankwise.plans.ordered import ROWS_PER_SLICE_CONF
 from tankwise.session import prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -74,3 +75,23 @@ CANONICAL = (
          (SELECT min(timestamp_index) FROM t) AS pitch_time
   FROM t)"""
 )
+
+
+def register_sliced(name: str, rows: int) -> None:
+    """The same query under ``<name>_sliced``, with slices of ``rows`` rows, so that tables that one task
+    could order take the way of large ones."""
+
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        usual = spark.conf.get(ROWS_PER_SLICE_CONF, None)
+        spark.conf.set(ROWS_PER_SLICE_CONF, str(rows))
+        try:
+            return QUERIES[name](spark, folder)
+        finally:
+            if usual is None:
+                spark.conf.unset(ROWS_PER_SLICE_CONF)
+            else:
+                spark.conf.set(ROWS_PER_SLICE_CONF, usual)
+
+    QUERIES[f"{name}_sliced"] = run
+    if name in ORACLES:
+        ORACLES[f"{name}_sliced"] = ORACLES[name]

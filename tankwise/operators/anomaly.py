@@ -134,7 +134,7 @@ class AnomalyDetector:
         if golden is not None:
             wanted.discard("abnormal_co2_activity")
         helpers = [h for h in HELPERS if h in flagged.columns]
-        plain = [c for c in arranged.rows.columns if c != "_slice"]
+        plain = arranged.result().columns
         kept = flagged.filter(F.arrays_overlap("anomalies", F.array(*map(F.lit, sorted(wanted)))))
         found = kept.select(*plain, *helpers, F.explode("anomalies").alias("anomaly_type")).filter(
             F.col("anomaly_type").isin(*sorted(wanted))

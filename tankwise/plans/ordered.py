@@ -38,7 +38,7 @@ _ROW_BITS = 33
 
 SLICE = "_slice"
 POSITION = "_position"
-_ROW, _RANK, _SIDE, _COPY = "_row", "_rank", "_side", "_copy"
+_ROW, _RANK, _SIDE, _COPY = "_slice_row", "_rank", "_side", "_copy"
 
 
 def rows_per_slice(df: DataFrame) -> int:
