@@ -493,18 +493,18 @@ def golden_lookup(spark, folder):
     return align.lookup_curve(curves, "click", "ipa")
 
 
-@register(
-    "preprocess_e2e",
-    f"""WITH {TELEMETRY}, n AS (
-      SELECT *, row_number() OVER (ORDER BY timestamp_index, event_id) - 1 AS i FROM t),
+def _preprocess_sql(keys: str = "") -> str:
+    by = f"PARTITION BY {keys}" if keys else ""
+    return f"""WITH {TELEMETRY}, n AS (
+      SELECT *, row_number() OVER ({by} ORDER BY timestamp_index, event_id) - 1 AS i FROM t),
     g AS (
       SELECT *, last_value(co2_ppm IGNORE NULLS) OVER before AS pv,
              last_value(CASE WHEN co2_ppm IS NOT NULL THEN i END IGNORE NULLS) OVER before AS pi,
              first_value(co2_ppm IGNORE NULLS) OVER behind AS nv,
              first_value(CASE WHEN co2_ppm IS NOT NULL THEN i END IGNORE NULLS) OVER behind AS ni
       FROM n
-      WINDOW before AS (ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
-             behind AS (ORDER BY i ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)),
+      WINDOW before AS ({by} ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+             behind AS ({by} ORDER BY i ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)),
     f AS (SELECT tank_id, timestamp_index, event_id, strain, style, {BOTH_FILLED} AS co2, o2_pct AS o2 FROM g),
     q AS (SELECT quantile_cont(co2, 0.25) AS a, quantile_cont(co2, 0.75) AS b,
                  quantile_cont(o2, 0.25) AS a2, quantile_cont(o2, 0.75) AS b2 FROM f),
@@ -533,12 +533,24 @@ def golden_lookup(spark, folder):
           FROM r GROUP BY tank_id)
     SELECT tank_id, epoch_us(bucket) AS timestamp_index, strain, style, phase,
            round((co2 - m) / (s + 1e-10), 6) + 0.0 AS co2_ppm, round((o2 - m2) / (s2 + 1e-10), 6) + 0.0 AS o2_pct
-    FROM h JOIN z USING (tank_id)""",
-)
-def preprocess_e2e(spark, folder):
-    """Gap filling, clipping, hourly grid per tank, phase labels and scaling as one ``pyspark.ml``
-    chain."""
+    FROM h JOIN z USING (tank_id)"""
+
+
+def _preprocessed(spark, folder, **settings):
     t = telemetry(spark, folder).select(*ORDER, "tank_id", "strain", "style", "co2_ppm", "o2_pct")
-    chain = jobs.preprocessing(ORDER, ["co2_ppm", "o2_pct"], minutes=60)
+    chain = jobs.preprocessing(ORDER, ["co2_ppm", "o2_pct"], minutes=60, **settings)
     _, prepared = jobs.fit_transform(chain, t)
     return prepared.select("tank_id", "timestamp_index", "strain", "style", "phase", "co2_ppm", "o2_pct")
+
+
+@register("preprocess_by_tank", _preprocess_sql("tank_id"))
+def preprocess_by_tank(spark, folder):
+    """Gap filling per tank, clipping, hourly grid per tank, phase labels and scaling as one
+    ``pyspark.ml`` chain."""
+    return _preprocessed(spark, folder)
+
+
+@register("preprocess_e2e", _preprocess_sql())
+def preprocess_e2e(spark, folder):
+    """The same with gaps filled in the row order of the whole table."""
+    return _preprocessed(spark, folder, gaps_by=())

@@ -38,15 +38,18 @@ def preprocessing(
     profiles: DataFrame | None = None,
     minutes: float = 5,
     staged: bool = True,
+    gaps_by: Iterable[str] | None = None,
 ) -> Pipeline:
     """Missing values, outliers, 5-minute grid, scaling per tank, phase labels.
 
-    Grid and scaling are per tank. Gap filling follows the row order of the whole table."""
+    Gap filling, grid and scaling are per tank. With ``gaps_by=()`` gaps are filled in the row order of the
+    whole table, so from other tanks' readings too."""
     order, columns, labels = list(order), list(columns), list(labels)
+    gaps_by = [by] if gaps_by is None else list(gaps_by)
     cut = [Staged()] if staged else []
     return Pipeline(
         stages=[
-            MissingHandler(order, "both", 3, columns=columns),
+            MissingHandler(order, "both", 3, gaps_by, columns),
             *cut,
             OutlierHandler("iqr", action="clip", columns=columns),
             Resampler(order[0], minutes, "mean", [by], columns, labels, order),
