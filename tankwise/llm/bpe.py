@@ -29,7 +29,7 @@ from tokenizers import pre_tokenizers
 from tankwise.llm.common import fresh, picked
 
 #: Chunks or pieces that one cache generation holds; two generations are kept.
-CACHE = 250_000
+CACHE = 100_000
 
 # What counts as white space in the tokenizer's patterns.
 _SPACE = r"\t\n\v\f\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"

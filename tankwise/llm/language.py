@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tankwise.llm.bpe import small
 from tankwise.llm.common import picked
 
 WINDOW = 256
@@ -217,18 +218,18 @@ def annotate(docs: DataFrame, net: Network | None, text: str = "text") -> DataFr
     A null text, an empty one or one without letters is ``und`` with score 0; so is every text where there
     was nothing to learn from. Whole texts are read, however long."""
     whole = F.struct(*(F.col(f"`{name}`") for name in docs.columns)).alias("row")
-    known = F.when(has_letter(F.col(f"`{text}`")), F.lower(F.col(f"`{text}`")))
-    rows = docs.select(whole, known.alias("text"))
+    rows = docs.select(whole, has_letter(F.col(f"`{text}`")).alias("known"))
     if net is None:
         return rows.select("row", F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"))
+    place = docs.columns.index(text)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = batch.column("text").to_pylist()
-            at = [k for k, t in enumerate(texts) if t is not None]
-            found = [UNKNOWN] * len(texts)
-            scores = [0.0] * len(texts)
-            for k, lang, score in zip(at, *predict(net, [texts[k].encode() for k in at])):
+        for batch in small(batches):
+            at = np.flatnonzero(batch.column("known").to_numpy(zero_copy_only=False))
+            texts = batch.column("row").field(place).take(pa.array(at)).to_pylist()
+            found = [UNKNOWN] * len(batch)
+            scores = [0.0] * len(batch)
+            for k, lang, score in zip(at, *predict(net, [t.lower().encode() for t in texts])):
                 found[k], scores[k] = lang, score
             yield pa.RecordBatch.from_arrays(
                 [batch.column("row"), pa.array(found, pa.string()), pa.array(scores, pa.float64())],

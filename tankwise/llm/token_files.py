@@ -37,6 +37,8 @@ MAGIC = b"TOKSHRD1"
 FOOTER = struct.Struct("<8sBQQqQQ")
 #: Ids that a reader holds at a time (one document is never cut).
 READ_IDS = 1 << 21
+#: Pieces and chunks that a cache generation of the library's encoder holds.
+CACHE = 250_000
 
 
 class LibraryEncoder:
@@ -55,8 +57,8 @@ class LibraryEncoder:
         own = load(path)
         self.split = own.split
         self.final = {number for number, string in own.strings.items() if string.endswith(own.end)}
-        self.pieces = Cache(lambda piece: self.packed(self.whole(piece)))
-        self.chunks = Cache(lambda chunk: b"".join([self.pieces[p] for p in self.split(chunk)]))
+        self.pieces = Cache(lambda piece: self.packed(self.whole(piece)), CACHE)
+        self.chunks = Cache(lambda chunk: b"".join([self.pieces[p] for p in self.split(chunk)]), CACHE)
 
     def whole(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
