@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator
+import contextlib
+from collections.abc import Iterator
 
-import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -33,20 +33,14 @@ def fresh(df: DataFrame, *stems: str) -> list[str]:
     return names
 
 
-def same(left: Column, right: Column) -> Column:
-    """Equal, null equal to null."""
-    return left.eqNullSafe(right)
-
-
-def batched(
-    make: Callable[[pa.RecordBatch], pa.RecordBatch | None],
-) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """A function over one Arrow batch as a function over the batches of a task."""
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            made = make(batch)
-            if made is not None:
-                yield made
-
-    return run
+@contextlib.contextmanager
+def small_batches(spark: SparkSession, rows: int = 1_000) -> Iterator[None]:
+    """Jobs run within send at most so many rows at a time to Python, for rows that hold long texts or
+    sets. The session's own setting comes back at the end."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    usual = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, usual)

@@ -16,8 +16,8 @@ def folder(spark: SparkSession, kind: str) -> str:
 
 
 def opened(folder: str) -> tuple[fs.FileSystem, str]:
-    """The file system of a folder and the folder's path in it."""
-    return fs.FileSystem.from_uri(folder)
+    """The file system of a folder and the folder's path in it (Hadoop's names for S3 included)."""
+    return fs.FileSystem.from_uri(re.sub(r"^s3[an]://", "s3://", folder))
 
 
 def created(folder: str) -> tuple[fs.FileSystem, str]:

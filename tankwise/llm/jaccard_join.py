@@ -13,8 +13,8 @@ corpus last, by counts over all documents in a fixed number of cells; any order
 
 1. Equal sets are one node. Prefix hashes that more than one node has are buckets; of buckets with the
    same members one stays.
-2. Every member of a bucket is compared with the bucket's smallest node, and linked nodes are joined into
-   components. Groups of near copies come together here without looking at their pairs.
+2. Every member of a bucket is compared with the bucket's leader, the member with the most shared
+   hashes in its prefix, and linked nodes are joined into components. Groups of near copies come together here without looking at their pairs.
 3. Buckets whose members are still in different components are split into blocks of bounded size; the
    R-tree of a block, or of two, gives the pairs of different components that the bounds let through.
    What has been compared before is not compared again. Links join the components for good.
@@ -32,13 +32,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tankwise.llm.bytewords import NOT_SPACE, chunks, join_hashes, mix
-from tankwise.llm.common import fresh, picked
+from tankwise.llm.common import fresh, picked, small_batches
 from tankwise.llm.components import components
 from tankwise.session import release, stage
 
 SIZE = 5
 PERCENT = 75
-GROUPS = 64
+GROUPS = 512
 #: Nodes of a bucket that one task compares with each other, or with as many others.
 BLOCK = 2_000
 LEAF = 32
@@ -66,7 +66,9 @@ def node_of(hashes: np.ndarray) -> int:
 
 
 def point_of(hashes: np.ndarray) -> np.ndarray:
-    return np.bincount((hashes & np.uint64(GROUPS - 1)).astype(np.int64), minlength=GROUPS).astype(np.uint32)
+    """Hashes per group, in the smallest of 8, 16 or 32 bits that holds them."""
+    counts = np.bincount((hashes & np.uint64(GROUPS - 1)).astype(np.int64), minlength=GROUPS)
+    return counts.astype(np.min_scalar_type(int(counts.max())))
 
 
 def prefix_length(n: int, percent: int) -> int:
@@ -189,11 +191,14 @@ def _buckets(texts: DataFrame, size: int, percent: int) -> DataFrame:
     allowed = context.broadcast(membership(shared, "token"))
     again = texts.select("text").mapInArrow(_prefix_rows(size, percent, classes, allowed), kind)
     members = stage(again.join(shared, "token").distinct())
-    signed = members.groupBy("token").agg(
+    # The text from which near copies were made has more shared hashes in its prefix than they have, whose
+    # prefixes begin with what is new in them. So it leads its buckets.
+    shares = members.groupBy("node").agg(F.count(F.lit(1)).alias("shares"))
+    signed = members.join(shares, "node").groupBy("token").agg(
         F.bit_xor("node").alias("x"),
         F.bit_xor(F.xxhash64("node")).alias("y"),
         F.count(F.lit(1)).alias("members"),
-        F.min("node").alias("leader"),
+        F.max(F.struct("shares", "node"))["node"].alias("leader"),
     )
     kinds = signed.groupBy("x", "y", "members", "leader").agg(F.min("token").alias("token"))
     found = stage(members.join(kinds.select("token", "members", "leader"), "token"))
@@ -217,7 +222,10 @@ def _pair_filter(percent: int):
 
 
 def _points(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint32).reshape(-1, GROUPS)
+    rows = column.to_pylist()
+    if all(len(row) == GROUPS for row in rows):
+        return np.frombuffer(b"".join(rows), np.uint8).reshape(-1, GROUPS)
+    return np.array([np.frombuffer(row, f"u{len(row) // GROUPS}") for row in rows], np.uint32)
 
 
 def _bounded(pairs: DataFrame, points: DataFrame, percent: int) -> DataFrame:
@@ -226,28 +234,25 @@ def _bounded(pairs: DataFrame, points: DataFrame, percent: int) -> DataFrame:
     return pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(_pair_filter(percent), "a long, b long")
 
 
-def _wanted_sets(size: int, allowed):
-    """Task function: the sets of the nodes that the filter allows, each about once a task."""
+def _wanted_sets(size: int, docs, nodes):
+    """Task function: the sets of the wanted nodes, from the documents that stand for them."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packed, seen = allowed.value, set()
         for batch in batches:
-            nodes, sets, held = [], [], 0
-            for _, hashes in shingle_sets(batch.column(0), size):
+            batch = batch.filter(pa.array(_passes(docs.value, batch.column("h").to_numpy())))
+            found, sets, held = [], [], 0
+            for _, hashes in shingle_sets(batch.column("text"), size):
                 node = node_of(hashes)
-                if node in seen or not _passes(packed, np.array([node], np.int64))[0]:
+                if not _passes(nodes.value, np.array([node], np.int64))[0]:
                     continue
-                seen.add(node)
-                nodes.append(node)
+                found.append(node)
                 sets.append(hashes.tobytes())
                 held += len(hashes)
                 if held > 500_000:
-                    yield _set_rows(nodes, sets)
-                    nodes, sets, held = [], [], 0
-            if len(seen) > 200_000:
-                seen.clear()
-            if nodes:
-                yield _set_rows(nodes, sets)
+                    yield _set_rows(found, sets)
+                    found, sets, held = [], [], 0
+            if found:
+                yield _set_rows(found, sets)
 
     return run
 
@@ -273,12 +278,20 @@ def _verifier(percent: int):
     return run
 
 
-def _verified(texts: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFrame:
-    """Staged: those of the (staged) pairs that are links."""
-    ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b"))
-    allowed = texts.sparkSession.sparkContext.broadcast(membership(ends, "node"))
-    sets = texts.select("text").mapInArrow(_wanted_sets(size, allowed), "node long, hashes binary")
-    sets = stage(sets.dropDuplicates(["node"]))
+def _verified(texts: DataFrame, base: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFrame:
+    """Staged: those of the (staged) pairs that are links.
+
+    Sets are worked out again for one document of each node in the pairs; filters of fixed size keep other
+    documents from being split into words, and the joins drop what the filters let through."""
+    context = texts.sparkSession.sparkContext
+    ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    stand_ins = base.join(ends, "node").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
+    hashed = stand_ins.select("node", F.xxhash64("doc_id").alias("h"))
+    docs, nodes = (context.broadcast(membership(hashed, name)) for name in ("h", "node"))
+    sets = texts.select(F.xxhash64("doc_id").alias("h"), "text").mapInArrow(
+        _wanted_sets(size, docs, nodes), "node long, hashes binary"
+    )
+    sets = stage(sets.join(ends, "node", "left_semi").dropDuplicates(["node"]))
     x = sets.select(F.col("node").alias("a"), F.col("hashes").alias("x"))
     y = sets.select(F.col("node").alias("b"), F.col("hashes").alias("y"))
     links = stage(pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(_verifier(percent), "a long, b long"))
@@ -401,6 +414,18 @@ def _open_pairs(buckets: DataFrame, roots: DataFrame, points: DataFrame, percent
     return placed.select(*columns).mapInArrow(_tree_pairs(percent), "a long, b long").distinct()
 
 
+def _joined(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """Components after more links: only those that the links touch are worked out again."""
+    named = roots.select("node", F.col("root").alias("r"))
+    for side in ("a", "b"):
+        links = links.join(named.withColumnRenamed("node", side), side, "left")
+        links = links.withColumn(side, F.coalesce("r", side)).drop("r")
+    merged = stage(components(links))
+    moved = roots.join(merged.select(F.col("node").alias("root"), F.col("root").alias("to")), "root", "left")
+    alone = merged.join(roots, "node", "left_anti").select("node", "root")
+    return moved.select("node", F.coalesce("to", "root").alias("root")).unionByName(alone)
+
+
 def near_duplicates(
     docs: DataFrame,
     id: str = "doc_id",
@@ -419,37 +444,40 @@ def near_duplicates(
     two rows of one component. An empty table gives no rows; further columns play no part."""
     texts = picked(docs, doc_id=id, text=text)
     kind = texts.schema["doc_id"].dataType.simpleString()
+    with small_batches(docs.sparkSession):
+        base, found = _linked(texts, kind, size, percent, block)
+    placed = base.select("doc_id", "n_shingles", "node").join(found, "node", "left").withColumn(
+        "root", F.coalesce("root", "node")
+    )
+    least = (
+        placed.filter(F.col("root").isNotNull()).groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    )
+    return placed.join(least, "root", "left").select(
+        "doc_id",
+        "n_shingles",
+        F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
+    )
+
+
+def _linked(texts: DataFrame, kind: str, size: int, percent: int, block: int) -> tuple[DataFrame, DataFrame]:
+    """Staged: ``doc_id, n_shingles, node, point`` of every document, and ``node, root`` of linked nodes."""
     base = stage(texts.mapInArrow(_described(size), f"doc_id {kind}, n_shingles long, node long, point binary"))
     points = base.filter(F.col("node").isNotNull()).select("node", "point").dropDuplicates(["node"])
     points = stage(points)
     buckets = _buckets(texts, size, percent)
 
     led = buckets.filter(F.col("node") != F.col("leader"))
-    led = led.select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
+    led = led.select(F.least("leader", "node").alias("a"), F.greatest("leader", "node").alias("b")).distinct()
     first = stage(_bounded(led, points, percent))
-    links = _verified(texts, first, size, percent)
+    links = _verified(texts, base, first, size, percent)
     roots = stage(components(links))
 
     second = _open_pairs(buckets, roots, points, percent, block).join(first, ["a", "b"], "left_anti")
     second = stage(second)
-    if second.isEmpty():
-        found = roots
-    else:
-        more = _verified(texts, second, size, percent)
-        found = stage(components(links.unionByName(more)))
+    more = _verified(texts, base, second, size, percent)
+    found = roots if more.isEmpty() else stage(_joined(roots, more))
     release(buckets, first, second, points)
-
-    placed = base.select("doc_id", "n_shingles", "node").join(found, "node", "left").withColumn(
-        "root", F.coalesce("root", "node")
-    )
-    least = (
-        placed.filter(F.col("root").isNotNull()).groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    )
-    return placed.join(least, "root", "left").select(
-        "doc_id",
-        "n_shingles",
-        F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
-    )
+    return base, found
 
 
 def keep_first(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
