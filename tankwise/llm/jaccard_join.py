@@ -45,6 +45,8 @@ LEAF = 32
 _CELL_BITS = 18
 _FILTER_BITS = 24
 _ROWS = 4_096
+#: Buckets of a node that its rows know of, to give each pair once.
+_FIRSTS = 64
 
 
 def shingle_sets(column: pa.Array, size: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -377,6 +379,17 @@ def _tree_pairs(percent: int):
         points = _points(rows.column("point"))
         block = rows.column("block").to_numpy()
         i, j = rows.column("i")[0].as_py(), rows.column("j")[0].as_py()
+        token = rows.column("token")[0].as_py()
+        tokens = rows.column("tokens").to_pylist()
+        before: dict[int, set[int]] = {}
+
+        def new(a: int, b: int) -> bool:
+            """Whether no earlier bucket is known that has both."""
+            for k in (a, b):
+                if k not in before:
+                    before[k] = {t for t in tokens[k] if t < token}
+            return before[a].isdisjoint(before[b])
+
         if i == j:
             x = y = Tree(points, labels)
         else:
@@ -385,7 +398,8 @@ def _tree_pairs(percent: int):
                 return
             x, y = (Tree(points, labels, side) for side in sides)
         for a, b in tree_join(x, y, points, labels, percent):
-            a, b = nodes[a], nodes[b]
+            kept = [new(*pair) for pair in zip(a.tolist(), b.tolist())]
+            a, b = nodes[a[kept]], nodes[b[kept]]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"]
             )
@@ -409,8 +423,12 @@ def _open_pairs(buckets: DataFrame, roots: DataFrame, points: DataFrame, percent
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .select("token", "node", "root", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
     )
-    placed = numbered.join(points, "node").repartition("token", "i", "j").sortWithinPartitions("token", "i", "j")
-    columns = ["token", "i", "j", "block", "node", "root", "point"]
+    # A pair comes from the first of its buckets, as far as the first ones of its nodes tell; that bucket
+    # is open too, or its two members have met.
+    firsts = buckets.groupBy("node").agg(F.slice(F.array_sort(F.collect_set("token")), 1, _FIRSTS).alias("tokens"))
+    placed = numbered.join(points, "node").join(firsts, "node")
+    placed = placed.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j")
+    columns = ["token", "i", "j", "block", "node", "root", "point", "tokens"]
     return placed.select(*columns).mapInArrow(_tree_pairs(percent), "a long, b long").distinct()
 
 
