@@ -10,11 +10,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tankwise.llm.common import picked
+from tankwise.llm.license_texts import whole_texts
 
 #: Known digests up to this number are sent to every task; more are joined by a shuffle.
 SMALL = 20_000
 
-# Public licence texts and notices.
+# The shortest whole texts, and notices; longer texts are stored beside this module.
 MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and
 associated documentation files (the "Software"), to deal in the Software without restriction, including
 without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
@@ -47,6 +48,7 @@ KNOWN = [
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
     ("CC-BY-4.0", "Licensed under CC BY 4.0."),
     ("CC0-1.0", "Released under CC0 1.0."),
+    *whole_texts(),
 ]
 #: Spellings that count as the same, in the order in which they are replaced. They apply
 #: inside words too; a canonical text is for comparing only.
