@@ -5,7 +5,7 @@ from __future__ import annotations
 import contextlib
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -33,6 +33,11 @@ def fresh(df: DataFrame, *stems: str) -> list[str]:
     return names
 
 
+def text_digest(text: str) -> Column:
+    """SHA-256 of a text column; a null text counts as empty."""
+    return F.unhex(F.sha2(F.coalesce(F.col(f"`{text}`"), F.lit("")), 256))
+
+
 @contextlib.contextmanager
 def small_batches(spark: SparkSession, rows: int = 1_000) -> Iterator[None]:
     """Jobs run within send at most so many rows at a time to Python, for rows that hold long texts or

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from tankwise.llm.bytewords import ALPHANUMERIC, Chunk, chunks
-from tankwise.llm.common import fresh, picked
+from tankwise.llm.common import fresh, picked, text_digest
 from tankwise.session import release, stage
 
 WINDOW = 10
@@ -221,12 +221,29 @@ def find_passages(
     ``block_bytes`` of text (one item is never cut), each broadcast and matched in a pass of its own, so
     that its size is bounded whatever the benchmark's is."""
     texts = picked(docs, doc_id=id, text=text)
+    found = _passages(texts, benchmark, item_id, item_text, window, shingle, block_bytes)
+    return found.select("doc_id", "n_words", "spans", "items")
+
+
+def _passages(
+    texts: DataFrame,
+    benchmark: DataFrame,
+    item_id: str = "item_id",
+    item_text: str = "text",
+    window: int = WINDOW,
+    shingle: int = SHINGLE,
+    block_bytes: int = BLOCK_BYTES,
+) -> DataFrame:
+    """:func:`find_passages` of ``doc_id, text`` and perhaps ``digest``, which is kept; of several blocks
+    there is a digest in any case."""
     bench = picked(benchmark, item_id=item_id, text=item_text).select(
         F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item_id"),
         F.coalesce("text", F.lit("")).alias("text"),
     )
     size = bench.agg(F.sum(F.octet_length("text") + F.octet_length("item_id"))).first()[0] or 0
     blocks = -(-size // block_bytes) or 1
+    if blocks > 1 and "digest" not in texts.columns:
+        texts = texts.withColumn("digest", text_digest("text"))
     parts, number = [], F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks))
     for block in range(blocks):
         rows = bench.filter(number == block).distinct().sort("item_id", "text").collect()
@@ -234,26 +251,24 @@ def find_passages(
         parts.append(_matched(texts, index))
     if blocks == 1:
         return parts[0]
-    return _combined(texts, parts)
+    return _combined(parts)
 
 
 def _matched(texts: DataFrame, index: Index) -> DataFrame:
-    kind = texts.schema["doc_id"].dataType.simpleString()
-    return texts.mapInArrow(
-        _matcher(index), f"doc_id {kind}, n_words long, spans array<long>, items array<string>"
-    )
+    kept = "".join(f"{f.name} {f.dataType.simpleString()}, " for f in texts.drop("text").schema)
+    return texts.mapInArrow(_matcher(index), f"{kept}n_words long, spans array<long>, items array<string>")
 
 
-def _combined(texts: DataFrame, parts: list[DataFrame]) -> DataFrame:
-    """Hits of several passes together. Equal (id, number of words, text) rows have equal hits."""
+def _combined(parts: list[DataFrame]) -> DataFrame:
+    """Hits of several passes together. Rows of equal id and digest have equal texts, and so equal hits."""
     every = parts[0]
     for part in parts[1:]:
         every = every.unionByName(part)
     pairs = F.expr("transform(sequence(0, size(spans) - 2, 2), i -> struct(spans[i] AS a, spans[i + 1] AS b))")
     hit = every.filter(F.size("spans") > 0).select(
-        "doc_id", "n_words", F.explode(pairs).alias("span"), "items"
+        "doc_id", "digest", F.explode(pairs).alias("span"), "items"
     )
-    gathered = hit.groupBy("doc_id", "n_words").agg(
+    gathered = hit.groupBy("doc_id", "digest").agg(
         F.array_sort(F.collect_set("span")).alias("all_spans"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("all_items"),
     )
@@ -263,13 +278,14 @@ def _combined(texts: DataFrame, parts: list[DataFrame]) -> DataFrame:
         " concat(acc, array(s.a, s.b))))".replace("array()", "cast(array() AS array<long>)")
     )
     gathered = gathered.select(
-        F.col("doc_id").alias("_id"), F.col("n_words").alias("_n"), merged.alias("_spans"), "all_items"
+        F.col("doc_id").alias("_id"), F.col("digest").alias("_digest"), merged.alias("_spans"), "all_items"
     )
     return (
         parts[0]
-        .join(gathered, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("n_words") == F.col("_n")), "left")
+        .join(gathered, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("digest") == F.col("_digest")), "left")
         .select(
             "doc_id",
+            "digest",
             "n_words",
             F.coalesce("_spans", F.expr("cast(array() AS array<long>)")).alias("spans"),
             F.coalesce("all_items", F.expr("cast(array() AS array<string>)")).alias("items"),
@@ -294,12 +310,16 @@ def contamination(found: DataFrame) -> DataFrame:
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents in which no benchmark window occurs, all columns as they were."""
-    row, found = fresh(docs, "text_hash", "found")
+    """The documents in which no benchmark window occurs, all columns as they were.
+
+    Rows are told apart by id and text, so that rows with a null or shared id stay or go by their own texts."""
+    digest, found, hit = fresh(docs, "digest", "found", "hit")
+    texts = picked(docs, doc_id=id, text=text).withColumn("digest", text_digest("text"))
     hits = stage(
-        find_passages(docs, benchmark, id, text)
+        _passages(texts, benchmark)
         .filter(F.size("spans") > 0)
-        .select(F.col("doc_id").alias(found))
+        .select(F.col("doc_id").alias(found), F.col("digest").alias(hit))
         .distinct()
     )
-    return docs.join(hits, F.col(f"`{id}`").eqNullSafe(F.col(found)), "left_anti")
+    same = F.col(f"`{id}`").eqNullSafe(F.col(found)) & (F.col(digest) == F.col(hit))
+    return docs.withColumn(digest, text_digest(text)).join(hits, same, "left_anti").drop(digest)

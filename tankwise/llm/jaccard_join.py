@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tankwise.llm.bytewords import NOT_SPACE, chunks, join_hashes, mix
-from tankwise.llm.common import fresh, picked, small_batches
+from tankwise.llm.common import fresh, picked, small_batches, text_digest
 from tankwise.llm.components import components
 from tankwise.session import release, stage
 
@@ -90,9 +90,15 @@ def _described(size: int):
             points: list[bytes | None] = [None] * len(batch)
             for row, hashes in shingle_sets(batch.column("text"), size):
                 n[row], nodes[row], points[row] = len(hashes), node_of(hashes), point_of(hashes).tobytes()
+            kept = [name for name in batch.schema.names if name != "text"]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(n), pa.array(nodes, pa.int64()), pa.array(points, pa.binary())],
-                ["doc_id", "n_shingles", "node", "point"],
+                [
+                    *(batch.column(name) for name in kept),
+                    pa.array(n),
+                    pa.array(nodes, pa.int64()),
+                    pa.array(points, pa.binary()),
+                ],
+                [*kept, "n_shingles", "node", "point"],
             )
 
     return run
@@ -461,12 +467,7 @@ def near_duplicates(
     Null ids are passed over in that (a component of null ids only has a null id). Rows given twice are
     two rows of one component. An empty table gives no rows; further columns play no part."""
     texts = picked(docs, doc_id=id, text=text)
-    kind = texts.schema["doc_id"].dataType.simpleString()
-    with small_batches(docs.sparkSession):
-        base, found = _linked(texts, kind, size, percent, block)
-    placed = base.select("doc_id", "n_shingles", "node").join(found, "node", "left").withColumn(
-        "root", F.coalesce("root", "node")
-    )
+    placed = _placed(texts, size, percent, block)
     least = (
         placed.filter(F.col("root").isNotNull()).groupBy("root").agg(F.min("doc_id").alias("component_id"))
     )
@@ -477,9 +478,19 @@ def near_duplicates(
     )
 
 
-def _linked(texts: DataFrame, kind: str, size: int, percent: int, block: int) -> tuple[DataFrame, DataFrame]:
-    """Staged: ``doc_id, n_shingles, node, point`` of every document, and ``node, root`` of linked nodes."""
-    base = stage(texts.mapInArrow(_described(size), f"doc_id {kind}, n_shingles long, node long, point binary"))
+def _placed(texts: DataFrame, size: int = SIZE, percent: int = PERCENT, block: int = BLOCK) -> DataFrame:
+    """The columns of ``texts`` but the text, ``n_shingles``, ``node`` and ``root``: the component, null for
+    a text without shingles."""
+    with small_batches(texts.sparkSession):
+        base, found = _linked(texts, size, percent, block)
+    return base.drop("point").join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
+
+
+def _linked(texts: DataFrame, size: int, percent: int, block: int) -> tuple[DataFrame, DataFrame]:
+    """Staged: the columns but the text, ``n_shingles, node, point`` of every document, and ``node, root``
+    of linked nodes."""
+    kept = "".join(f"{f.name} {f.dataType.simpleString()}, " for f in texts.drop("text").schema)
+    base = stage(texts.mapInArrow(_described(size), f"{kept}n_shingles long, node long, point binary"))
     points = base.filter(F.col("node").isNotNull()).select("node", "point").dropDuplicates(["node"])
     points = stage(points)
     buckets = _buckets(texts, size, percent)
@@ -499,14 +510,25 @@ def _linked(texts: DataFrame, kind: str, size: int, percent: int, block: int) ->
 
 
 def keep_first(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The input with the row of the smallest id of each component, all columns as they were.
-
-    Rows are told apart by id and text; rows that repeat both stay or go together."""
-    gone, digest, other = fresh(docs, "gone", "digest", "other")
-    groups = near_duplicates(docs, id, text)
-    # Ids are unique in a corpus; where they are not, a row goes only if all rows of its id go.
-    dropped = groups.groupBy(F.col("doc_id").alias(gone)).agg(
-        F.bool_and(~F.col("doc_id").eqNullSafe(F.col("component_id"))).alias(other)
-    )
-    dropped = stage(dropped.filter(F.col(other)).select(gone))
-    return docs.join(dropped, F.col(f"`{id}`") == F.col(gone), "left_anti")
+    """The input with one row of each component, that of the smallest id, all columns as they were.
+
+    Rows are told apart by id and text. A null id comes after all others, of rows that share the smallest id
+    the one with the least digest of its text stays, and of rows that repeat both one stays. Texts without
+    shingles are linked with nothing and stay, repeated or not."""
+    digest, key, form = fresh(docs, "digest", "key", "form")
+    texts = picked(docs, doc_id=id, text=text).withColumn("digest", text_digest("text"))
+    placed = _placed(texts).filter(F.col("root").isNotNull())
+    rows = stage(placed.groupBy("root", "doc_id", "digest").agg(F.count(F.lit(1)).alias("copies")))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.col("digest"))).alias("first")
+    winners = rows.groupBy("root").agg(first).select(F.col("first.doc_id").alias(key), F.col("first.digest").alias(form))
+    same = F.col("doc_id").eqNullSafe(F.col(key)) & (F.col("digest") == F.col(form))
+    named = [F.col("doc_id").alias(key), F.col("digest").alias(form)]
+    gone = stage(rows.join(winners, same, "left_anti").select(*named))
+    repeated = stage(rows.filter(F.col("copies") > 1).select(*named))
+
+    same = F.col(f"`{id}`").eqNullSafe(F.col(key)) & (F.col(digest) == F.col(form))
+    kept = docs.withColumn(digest, text_digest(text)).join(gone, same, "left_anti")
+    if not repeated.isEmpty():
+        once = kept.join(repeated, same, "left_anti")
+        kept = once.unionByName(kept.join(repeated, same, "left_semi").dropDuplicates([id, digest]))
+    return kept.drop(digest)

@@ -3,6 +3,7 @@ import re
 
 import pytest
 
+from tankwise.llm import decontamination
 from tankwise.llm.decontamination import contamination, decontaminate, find_passages
 from tests.llm.frames import docs, rows, text
 
@@ -77,3 +78,19 @@ def test_clean_documents_stay(spark):
     flagged = {i for i, _, n, *_ in expected(small_rows(), BENCH, 10) if n and i is not None}
     assert {r["doc_id"] for r in kept.collect()} >= {5, 6, 7, 8, 16, -17}
     assert not {r["doc_id"] for r in kept.collect()} & flagged
+
+
+@pytest.mark.parametrize("window_block", [4_000_000, 300])
+def test_null_and_shared_ids_go_by_their_texts(spark, monkeypatch, window_block):
+    """Clean and dirty rows under a null id and under a shared one, of equally many words too."""
+    monkeypatch.setattr(decontamination._passages, "__defaults__", (*decontamination._passages.__defaults__[:-1], window_block))
+    bench = spark.createDataFrame(BENCH, "item_id long, text string")
+    passage = BENCH[0][1]
+    dirty, clean, other = passage + " " + text(71, 5), text(72, 30), text(73, 9)
+    pairs = [(None, dirty), (None, clean), (None, other), (7, dirty), (7, clean), (7, other), (8, clean), (9, dirty)]
+    pairs += [(None, None), (7, ""), (7, clean)]
+    kept = decontaminate(docs(spark, pairs), bench)
+    got = sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=repr)
+    assert got == sorted(((i, t) for i, t in pairs if t != dirty), key=repr)
+    found = find_passages(docs(spark, pairs), bench, block_bytes=window_block)
+    assert sorted((tuple(r[c] for c in COLUMNS) for r in contamination(found).collect()), key=repr) == expected(pairs, BENCH, 10)

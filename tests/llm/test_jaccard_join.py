@@ -1,3 +1,4 @@
+import hashlib
 import re
 
 import numpy as np
@@ -78,6 +79,21 @@ def test_one_of_each_component_stays(spark):
     assert {r["doc_id"] for r in kept.collect()} == {i for i, _, root in expected(pairs) if i == root}
 
 
+def test_one_of_each_component_stays_under_null_and_shared_ids(spark):
+    base, lone = text(81, 120), text(82, 90)
+    near = [changed(base, 60, k) for k in range(4)]
+    alike = [changed(lone, 45, k) for k in range(3)]
+    pairs = [(None, base), (None, near[0]), (7, near[1]), (7, near[2]), (9, near[3]), (9, near[3])]
+    pairs += [(7, text(83, 40)), (None, text(84, 40)), (None, None), (None, ""), (7, "")]
+    pairs += [(None, lone), (None, lone), *((None, t) for t in alike)]
+    pairs += [(20, text(85, 50)), (20, text(85, 50))]
+    kept = [(r["doc_id"], r["text"]) for r in keep_first(docs(spark, pairs)).collect()]
+    least = min(near[1:3], key=lambda t: hashlib.sha256(t.encode()).digest())
+    first = min([lone, *alike], key=lambda t: hashlib.sha256(t.encode()).digest())
+    want = [(7, least), (None, first), *pairs[6:11], pairs[-1]]
+    assert sorted(kept, key=repr) == sorted(want, key=repr)
+
+
 def test_empty_table(spark):
     assert near_duplicates(docs(spark, [])).collect() == []
     assert keep_first(docs(spark, [(None, None), (3, "")])).count() == 2
