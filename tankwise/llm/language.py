@@ -257,8 +257,10 @@ def identify(docs: DataFrame, id: str = "doc_id", text: str = "text", lang: str
     return found.select("row.doc_id", "row.held_out", "lang_pred", "score")
 
 
-def keep_known(docs: DataFrame, net: Network | None, least: float = 0.3) -> DataFrame:
-    """The documents whose language can be told: not ``und``, and with a score of at least ``least``; all
-    columns as they were."""
-    found = annotate(docs, net)
-    return found.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)).select("row.*")
+def keep_known(docs: DataFrame, net: Network | None) -> DataFrame:
+    """The documents whose language can be told: not ``und``, whatever the score, as its size depends on the
+    number of languages; all columns as they were. Where there was nothing to learn from, all documents with
+    a letter."""
+    if net is None:
+        return docs.filter(has_letter(F.col("text")))
+    return annotate(docs, net).filter(F.col("lang_pred") != UNKNOWN).select("row.*")

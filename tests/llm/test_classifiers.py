@@ -116,3 +116,16 @@ def test_quality_odd_rows(spark):
 @pytest.mark.parametrize("text", ["", "x", "!", "a b\nc"])
 def test_features_of_short_texts(text):
     assert np.isfinite(quality.features(text)).all()
+
+
+def test_documents_with_letters_stay_whatever_the_score(spark):
+    """With nothing to learn from, and with forty languages that look alike."""
+    frame = docs(spark)
+    want = sorted((r["doc_id"] for r in frame.filter(language.has_letter(frame["text"])).collect()), key=repr)
+    unlabelled = language.learn(frame.selectExpr("cast(null AS string) AS lang", "text"))
+    assert unlabelled is None
+    flat = language.train(np.full((40, language.WINDOW), 97, np.uint8), np.arange(40), [f"l{k:02}" for k in range(40)])
+    for net in (None, flat):
+        kept = language.keep_known(frame, net)
+        assert kept.columns == frame.columns
+        assert sorted((r["doc_id"] for r in kept.collect()), key=repr) == want
