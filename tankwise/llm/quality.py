@@ -163,6 +163,8 @@ def class_prior(positive: np.ndarray, unlabelled: np.ndarray, epochs: int = EPOC
     above_u = 1 - np.searchsorted(u, cuts, "left") / len(u)
     margin = math.sqrt(math.log(20) / (2 * len(u))) + math.sqrt(math.log(20) / (2 * len(p)))
     use = above_p > margin
+    if not use.any():  # too few texts to tell
+        return 0.5
     at = np.argmin((above_u[use] + margin) / above_p[use])
     return float(np.clip(above_u[use][at] / above_p[use][at], 0.01, 0.99))
 

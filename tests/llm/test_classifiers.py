@@ -129,3 +129,12 @@ def test_documents_with_letters_stay_whatever_the_score(spark):
         kept = language.keep_known(frame, net)
         assert kept.columns == frame.columns
         assert sorted((r["doc_id"] for r in kept.collect()), key=repr) == want
+
+
+@pytest.mark.parametrize("trusted", [1, 2, 3, 5])
+def test_few_trusted_texts(trusted):
+    rng = np.random.default_rng(trusted)
+    for unmarked in (2, 6, 400):
+        model = quality.fit(rng.normal(1, 1, (trusted, 24)), rng.normal(0, 1, (unmarked, 24)))
+        assert (model is None) == (trusted < 2)
+        assert model is None or (0 < model.prior < 1 and np.isfinite(model.probability(rng.normal(0, 1, (4, 24)))).all())
