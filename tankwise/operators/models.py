@@ -7,13 +7,14 @@ from collections.abc import Iterable
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import GBTClassifier, OneVsRest, RandomForestClassifier
+from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tankwise.functions.phases import PHASES
+from tankwise.operators.boosting import Boosting, fit_softmax
 from tankwise.plans.ordered import POSITION, arrange
 from tankwise.sources.schemas import numeric_columns
 
@@ -101,24 +102,22 @@ def _ratio(a: Column, b: Column) -> Column:
 class PhaseModel:
     """A fitted classifier with its feature names and classes (phase codes)."""
 
-    pipeline: PipelineModel
+    pipeline: PipelineModel | Boosting
     features: list[str]
     classes: list[int]
 
     def predict(self, df: DataFrame) -> DataFrame:
         """Add ``predicted`` (phase code) and ``probabilities`` (in the order of ``classes``)."""
         prepared, _ = prepare_features(df.select("*"), self.features)
-        scored = self.pipeline.transform(prepared)
-        if "probability" in scored.columns:
-            shares = vector_to_array("probability")
-        else:
-            margins = vector_to_array("rawPrediction")
-            odds = F.transform(margins, lambda m: 1 / (1 + F.exp(-2 * m)))
-            whole = F.aggregate(odds, F.lit(0.0), lambda total, p: total + p)
-            shares = F.transform(odds, lambda p: p / whole)
         codes = F.array(*(F.lit(c) for c in self.classes))
+        if isinstance(self.pipeline, Boosting):
+            shares = self.pipeline.probabilities(F.array(*(F.col(f"`{c}`") for c in self.features)))
+            scored = prepared.withColumn("probabilities", shares)
+            best = F.array_position("probabilities", F.array_max("probabilities")).cast("int")
+            return scored.withColumn("predicted", codes[best - 1])
+        scored = self.pipeline.transform(prepared)
         predicted = codes[F.col("prediction").cast("int")]
-        kept = scored.withColumns({"predicted": predicted, "probabilities": shares})
+        kept = scored.withColumns({"predicted": predicted, "probabilities": vector_to_array("probability")})
         return kept.drop("_features", "rawPrediction", "probability", "prediction")
 
     def forecast(self, df: DataFrame, order: Iterable[str], batch: str | None = "batch_id") -> DataFrame:
@@ -139,11 +138,12 @@ class PhaseModel:
         )
 
     def importances(self, spark: SparkSession) -> DataFrame:
-        """Importance per feature; for boosted trees, the mean over the classes."""
-        classifier = self.pipeline.stages[-1]
-        parts = getattr(classifier, "models", None) or [classifier]
-        values = [part.featureImportances.toArray() for part in parts]
-        rows = [(f, float(sum(v[i] for v in values) / len(values))) for i, f in enumerate(self.features)]
+        """Importance per feature; for boosted trees, the share of all gains."""
+        if isinstance(self.pipeline, Boosting):
+            values = self.pipeline.gains / max(self.pipeline.gains.sum(), 1e-300)
+        else:
+            values = self.pipeline.stages[-1].featureImportances.toArray()
+        rows = [(f, float(v)) for f, v in zip(self.features, values)]
         return spark.createDataFrame(rows, "feature string, importance double")
 
     def evaluate(self, df: DataFrame, label: str) -> dict[str, DataFrame]:
@@ -155,17 +155,30 @@ class PhaseModel:
         }
 
     def save(self, path: str) -> None:
-        """Classifier below ``path/classifier``, names as one JSON record below ``path/names``."""
-        self.pipeline.write().overwrite().save(f"{path}/classifier")
+        """Classifier below ``path/classifier`` (a forest) or as one JSON record below ``path/trees``, names
+        as one JSON record below ``path/names``."""
         spark = SparkSession.active()
-        names = json.dumps({"features": self.features, "classes": self.classes})
-        spark.createDataFrame([(names,)], "value string").write.mode("overwrite").text(f"{path}/names")
+        boosted = isinstance(self.pipeline, Boosting)
+        if boosted:
+            _write_text(spark, self.pipeline.to_json(), f"{path}/trees")
+        else:
+            self.pipeline.write().overwrite().save(f"{path}/classifier")
+        names = {"features": self.features, "classes": self.classes, "boosted": boosted}
+        _write_text(spark, json.dumps(names), f"{path}/names")
 
     @staticmethod
     def load(path: str) -> "PhaseModel":
         spark = SparkSession.active()
         names = json.loads(spark.read.text(f"{path}/names").first()[0])
-        return PhaseModel(PipelineModel.load(f"{path}/classifier"), names["features"], names["classes"])
+        if names["boosted"]:
+            pipeline = Boosting.from_json(spark.read.text(f"{path}/trees").first()[0])
+        else:
+            pipeline = PipelineModel.load(f"{path}/classifier")
+        return PhaseModel(pipeline, names["features"], names["classes"])
+
+
+def _write_text(spark: SparkSession, text: str, path: str) -> None:
+    spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(path)
 
 
 def latest_rows(df: DataFrame, order: Iterable[str], keys: list[str]) -> DataFrame:
@@ -210,13 +223,13 @@ def fit_boosted(
     iterations: int = 100,
     rate: float = 0.1,
     depth: int = 5,
-    seed: int = 42,
 ) -> PhaseModel:
-    """Gradient-boosted trees, one binary model per class (Spark's boosting is binary)."""
-    trees = GBTClassifier(maxIter=iterations, stepSize=rate, maxDepth=depth, seed=seed)
-    trees.setFeaturesCol("_features").setLabelCol("_label")
-    many = OneVsRest(classifier=trees, parallelism=4, featuresCol="_features", labelCol="_label")
-    return _fit(train, label, columns, many)
+    """Gradient-boosted trees with one softmax loss over all classes. Rows without a label are left out; the
+    fit takes no random choices."""
+    indexed, classes = _indexed(train, label)
+    prepared, columns = prepare_features(indexed, columns)
+    fitted = fit_softmax(prepared, columns, "_label", len(classes), iterations, rate, depth)
+    return PhaseModel(fitted, columns, classes)
 
 
 def fit_forest(
