@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tankwise.catalog.preparation import CANONICAL_ORDER, SENSORS, canonical
 from tankwise.catalog.registry import CANONICAL, TELEMETRY, all_rounded, register, rounded
-from tankwise.operators import align, batch, changepoints, features, similarity
+from tankwise.operators import align, batch, changepoints, features, neighbours, similarity
 from tankwise.sources.readers import table
 from tankwise.sources.telemetry import ORDER, telemetry
 
@@ -159,6 +159,19 @@ def pairwise_euclid(spark, folder):
     return similarity.distances(means, "label", "centroid")
 
 
+@register(
+    "nearest_rows",
+    """WITH d AS (SELECT a.vec_id, b.vec_id AS neighbour,
+        list_distance(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) AS distance
+      FROM embeddings a JOIN embeddings b ON a.label = b.label AND a.vec_id <> b.vec_id),
+    r AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY distance, neighbour) AS place FROM d)
+    SELECT vec_id, neighbour, CAST(place AS INTEGER) AS place, round(distance, 6) + 0.0 AS distance FROM r WHERE place <= 5""",
+)
+def nearest_rows(spark, folder):
+    """The five nearest vectors of the same label, for every row."""
+    return neighbours.nearest_rows(table(spark, folder, "embeddings"), "vec_id", "embedding", 5, "label")
+
+
 @register(
     "tank_distances",
     f"""WITH {TELEMETRY}, m AS (SELECT batch_id, {', '.join(f'avg({c}) AS {c}' for c in SENSORS)} FROM t GROUP BY batch_id)

@@ -2,20 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from tankwise.operators.anomaly import (
-    PRESSURE_RISE_PER_MINUTE,
-    SAMPLE_MINUTES,
-    SEVERITIES,
-    VIGOROUS_PER_MINUTE,
-    pressure_anomalies,
-)
+from tankwise.operators.anomaly import pressure_anomalies
+from tankwise.streaming.stateful import alerts
+
+RATE_TYPES = ("over_vigorous_co2", "rapid_pressure_rise")
 
 
 def pressure_alerts(stream: DataFrame, pressure: str = "pressure_bar") -> DataFrame:
@@ -47,71 +42,13 @@ def rate_alerts(
     key: str,
     time: str,
     tiebreak: str,
+    lateness: str = "10 minutes",
     co2: str = "co2_lpm",
     pressure: str = "pressure_bar",
 ) -> DataFrame:
-    """Over-vigorous CO2 and rapid pressure rise, from the previous row of the same key.
-
-    State is one row per key. Rows of a micro-batch are put in time order before they are compared; a
-    row older than the state cannot be placed and is reported as ``late_row`` with NULL rates."""
-    columns = {f.name: f.dataType.simpleString() for f in stream.schema.fields}
-    types = {key: columns[key], time: columns[time], tiebreak: columns[tiebreak]}
-    output = (
-        ", ".join(f"`{name}` {kind}" for name, kind in types.items())
-        + ", co2_rate_per_min double, pressure_rate_per_min double, anomaly_type string, severity string"
-    )
-    state = f"last_time long, last_tiebreak {columns[tiebreak]}, last_co2 double, last_pressure double"
-
-    def compare(
-        group: tuple, batches: Iterator[pd.DataFrame], held: GroupState
-    ) -> Iterator[pd.DataFrame]:
-        rows = pd.concat(list(batches), ignore_index=True).sort_values([time, tiebreak], kind="stable")
-        micros = rows[time].astype("datetime64[us]").astype("int64")
-        on_time = pd.Series(True, index=rows.index)
-        before = None
-        if held.exists:
-            before = held.get
-            on_time = (micros > before[0]) | ((micros == before[0]) & (rows[tiebreak] > before[1]))
-        fresh, late = rows[on_time], rows[~on_time]
-        found = [
-            late[[key, time, tiebreak]].assign(
-                co2_rate_per_min=float("nan"),
-                pressure_rate_per_min=float("nan"),
-                anomaly_type="late_row",
-                severity="low",
-            )
-        ]
-        if len(fresh):
-            rates = {}
-            for name, held_at in ((co2, 2), (pressure, 3)):
-                change = fresh[name].astype("float64").diff()
-                if before is not None and before[held_at] is not None:
-                    change.iloc[0] = fresh[name].iloc[0] - before[held_at]
-                rates[name] = change / SAMPLE_MINUTES
-            for name, limit, kind in (
-                (co2, VIGOROUS_PER_MINUTE, "over_vigorous_co2"),
-                (pressure, PRESSURE_RISE_PER_MINUTE, "rapid_pressure_rise"),
-            ):
-                hit = rates[name] > limit
-                found.append(
-                    fresh.loc[hit, [key, time, tiebreak]].assign(
-                        co2_rate_per_min=rates[co2][hit],
-                        pressure_rate_per_min=rates[pressure][hit],
-                        anomaly_type=kind,
-                        severity=SEVERITIES[kind],
-                    )
-                )
-            last = fresh.iloc[-1]
-            held.update(
-                (
-                    int(micros[fresh.index[-1]]),
-                    last[tiebreak].item() if hasattr(last[tiebreak], "item") else last[tiebreak],
-                    None if pd.isna(last[co2]) else float(last[co2]),
-                    None if pd.isna(last[pressure]) else float(last[pressure]),
-                )
-            )
-        yield from (part for part in found if len(part))
-
-    return stream.groupBy(key).applyInPandasWithState(
-        compare, output, state, "append", GroupStateTimeout.NoTimeout
+    """Over-vigorous CO2 and rapid pressure rise, from the previous row of the same key; rows may arrive in
+    any order but at most ``lateness`` behind the newest (see :func:`alerts`)."""
+    found = alerts(stream, key, time, tiebreak, None, RATE_TYPES, lateness, co2=co2, pressure=pressure)
+    return found.select(
+        key, time, tiebreak, "co2_rate_per_min", "pressure_rate_per_min", "anomaly_type", "severity"
     )
