@@ -8,6 +8,11 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Java compiles no method of more than 8,000 bytes of code, it interprets them: whole-stage code that is longer
+#: runs many times slower than the same operators one by one, whose code Spark splits into short methods.
+CODE = {"spark.sql.codegen.hugeMethodLimit": "8000"}
+
+
 def build_session(app: str = "tankwise", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings the operators assume (UTC, adaptive execution)."""
     builder = SparkSession.builder.appName(app)
@@ -26,6 +31,7 @@ def build_session(app: str = "tankwise", master: str | None = None, **conf: str)
         # Recording a call site for every column expression dominates the building of wide plans.
         "spark.python.sql.dataFrameDebugging.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
+        **CODE,
     } | {key.replace("__", "."): value for key, value in conf.items()}
     for key, value in settings.items():
         builder = builder.config(key, value)
@@ -33,8 +39,9 @@ def build_session(app: str = "tankwise", master: str | None = None, **conf: str)
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Pin the session time zone, so that calendar parts do not depend on the host."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    """Pin the session time zone, so that calendar parts do not depend on the host, and the limit of code."""
+    for name, value in {"spark.sql.session.timeZone": "UTC", **CODE}.items():
+        spark.conf.set(name, value)
     return spark
 
 
