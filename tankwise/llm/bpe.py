@@ -190,6 +190,12 @@ class Tokenizer:
             return [lower] if lower.isalpha() else self.latin.findall(lower)
         return self.piece.findall(self.normalize(chunk))
 
+    def pieces_of(self, text: str) -> list[str]:
+        """The pieces of a whole text without special tokens."""
+        if text.isascii() or not _BEYOND.search(text):
+            return self.latin.findall(text.lower())
+        return [piece for chunk in chunks_of(text) for piece in self.split(chunk)]
+
     def _chunk(self, chunk: str) -> tuple[int, ...]:
         found: list[int] = []
         for piece in self.split(chunk):

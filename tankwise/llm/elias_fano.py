@@ -17,20 +17,23 @@ _HEAD = struct.Struct("<QBQ")
 
 
 def encode(values: np.ndarray) -> bytes:
-    values = np.asarray(values, np.int64)
+    """The sequence as bytes; values of 2**63 and more may be given as unsigned numbers, and are read as
+    the signed ones of the same bits."""
+    values = np.asarray(values)
     n = len(values)
     if not n:
         return _HEAD.pack(0, 0, 0)
-    if values[0] < 0 or (np.diff(values) < 0).any():
+    if values[0] < 0 or (values[1:] < values[:-1]).any():
         raise ValueError("values must not be negative and must not decrease")
+    values = values.astype(np.uint64)
     low_bits = max(0, int(int(values[-1]) // n).bit_length() - 1)
-    ones = (values >> low_bits) + np.arange(n)
+    ones = (values >> np.uint64(low_bits)).astype(np.int64) + np.arange(n)
     upper = np.zeros(int(ones[-1]) // 8 + 1, np.uint8)
     np.bitwise_or.at(upper, ones >> 3, (1 << (ones & 7)).astype(np.uint8))
     sampled = ones[::_EVERY]
     within = np.array([bin(int(upper[p >> 3]) & ((1 << (p & 7)) - 1)).count("1") for p in sampled.tolist()], np.uint8)
     if low_bits:
-        bits = (values[:, None] >> np.arange(low_bits)) & 1
+        bits = (values[:, None] >> np.arange(low_bits, dtype=np.uint64)) & np.uint64(1)
         lower = np.packbits(bits.astype(np.uint8).ravel(), bitorder="little")
     else:
         lower = np.zeros(0, np.uint8)

@@ -9,15 +9,12 @@ position of a shard in the whole is the running sum of one number per shard."""
 
 from __future__ import annotations
 
-import array
 import functools
 import itertools
 import struct
-import sys
 import uuid
 import zlib
 from collections.abc import Iterable, Iterator
-from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -25,9 +22,10 @@ import tokenizers
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tankwise.llm import files
-from tankwise.llm.bpe import Cache, chunks_of, load, small
+from tankwise.llm.bpe import load, small
 from tankwise.llm.common import picked
 from tankwise.llm.elias_fano import EliasFano, encode
 from tankwise.session import stage
@@ -37,61 +35,85 @@ MAGIC = b"TOKSHRD1"
 FOOTER = struct.Struct("<8sBQQqQQ")
 #: Ids that a reader holds at a time (one document is never cut).
 READ_IDS = 1 << 21
-#: Pieces and chunks that a cache generation of the library's encoder holds.
-CACHE = 250_000
+#: Bytes of pieces and ids that a cache generation of the library's encoder holds.
+CACHE_BYTES = 32 << 20
+#: Pieces longer than this are encoded anew each time.
+_LONGEST = 1 << 12
 
 
 class LibraryEncoder:
     """Ids of whole texts by the tokenizers library.
 
-    White space ends every token, and so does the end of a piece of the tokenizer's pattern. Pieces that
-    are not in a bounded cache are given to the library many at a time with spaces between; the last id of
-    each piece is one with an end-of-word mark. Texts in which a special token's string may occur are
-    encoded as they are."""
+    No token goes beyond a piece of the tokenizer's pattern. Pieces that are not in a cache of bounded bytes
+    are given to the library many at a time with spaces between; the last id of each is one with an
+    end-of-word mark. Texts in which a special token's string may occur are encoded as they are."""
 
     def __init__(self, path: str) -> None:
         self.tokenizer = tokenizers.Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
-        own = load(path)
-        self.split = own.split
-        self.final = {number for number, string in own.strings.items() if string.endswith(own.end)}
-        self.pieces = Cache(lambda piece: self.packed(self.whole(piece)), CACHE)
-        self.chunks = Cache(lambda chunk: b"".join([self.pieces[p] for p in self.split(chunk)]), CACHE)
+        self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        self.width = self.kind.itemsize
+        self.own = load(path)
+        self.final = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        self.final[[number for number, string in self.own.strings.items() if string.endswith(self.own.end)]] = True
+        self.new: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.held = 0
 
     def whole(self, text: str) -> list[int]:
-        return self.tokenizer.encode(text, add_special_tokens=False).ids
+        return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
 
     def packed(self, ids: Iterable[int]) -> bytes:
-        packed = array.array("H" if self.width == 2 else "I", ids)
-        if sys.byteorder == "big":
-            packed.byteswap()
-        return packed.tobytes()
+        return np.array(ids, self.kind).tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Packed ids of each text."""
         special = ["<|" in text for text in texts]
-        parts = [[] if odd else chunks_of(text) for odd, text in zip(special, texts)]
-        self._learn({chunk for chunk in set().union(*parts) if not self.chunks.knows(chunk)})
-        known = self.chunks.__getitem__
+        parts = [[] if odd else self.own.pieces_of(text) for odd, text in zip(special, texts)]
+        known = self._known(set().union(*parts))
         return [
-            self.packed(self.whole(text)) if odd else b"".join(map(known, part))
+            self.packed(self.whole(text)) if odd else b"".join(map(known.__getitem__, part))
             for odd, text, part in zip(special, texts, parts)
         ]
 
-    def _learn(self, chunks: set[str]) -> None:
-        split = {chunk: self.split(chunk) for chunk in chunks}
-        new = list({piece for pieces in split.values() for piece in pieces if not self.pieces.knows(piece)})
-        ids, at = self.whole(" ".join(new)), 0
-        for piece in new:
-            end = at
-            while ids[end] not in self.final:
-                end += 1
-            self.pieces.put(piece, self.packed(ids[at : end + 1]))
-            at = end + 1
-        for chunk, pieces in split.items():
-            self.chunks.put(chunk, b"".join([self.pieces[piece] for piece in pieces]))
+    def _known(self, pieces: set[str]) -> dict[str, bytes]:
+        """Packed ids of all these pieces. When a generation is full it becomes the old one, and what is
+        asked for again moves to the new one."""
+        found, missing = {}, []
+        new, old = self.new.get, self.old.get
+        for piece in pieces:
+            ids = new(piece)
+            if ids is None:
+                ids = old(piece)
+                if ids is None:
+                    missing.append(piece)
+                    continue
+                self._put(piece, ids)
+                new, old = self.new.get, self.old.get
+            found[piece] = ids
+        for piece, ids in self._encoded(missing):
+            found[piece] = ids
+            if len(piece) <= _LONGEST:
+                self._put(piece, ids)
+        return found
+
+    def _put(self, piece: str, ids: bytes) -> None:
+        size = len(piece) + len(ids) + 150  # with what Python adds
+        if self.held + size > CACHE_BYTES:
+            self.old, self.new, self.held = self.new, {}, 0
+        self.new[piece] = ids
+        self.held += size
+
+    def _encoded(self, pieces: list[str]) -> Iterator[tuple[str, bytes]]:
+        if not pieces:
+            return iter(())
+        ids = np.array(self.whole(" ".join(pieces)), self.kind)
+        ends = (np.flatnonzero(self.final[ids]) + 1) * self.width
+        if len(ends) != len(pieces):
+            raise ValueError("the library cut a piece of the tokenizer's pattern")
+        data, cuts = ids.tobytes(), ends.tolist()
+        return zip(pieces, map(data.__getitem__, map(slice, [0, *cuts], cuts)))
 
 
 @functools.lru_cache(maxsize=2)
@@ -120,7 +142,9 @@ def _write_shard(out, parts: Iterable[pa.RecordBatch], coder: LibraryEncoder, en
         else:
             ids.append(number)
     base = ids[0] if ids else 0
-    names, borders = encode(np.array(ids, np.int64) - base), encode(np.array(bounds, np.int64))
+    # Unsigned, as ids may be further apart than 2**63.
+    offsets = np.array(ids, np.int64).view(np.uint64) - np.array([base], np.int64).view(np.uint64)
+    names, borders = encode(offsets), encode(np.array(bounds, np.int64))
     out.write(names)
     out.write(borders)
     out.write(FOOTER.pack(MAGIC, coder.width, total, nulls, base, len(names), len(borders)))
@@ -165,9 +189,12 @@ def write(docs: DataFrame, path: str, end_id: int, id: str = "doc_id", text: str
     and ``base``, the number of ids in the shards before.
 
     A null or empty text has the end id alone. Null document ids come first. Rows given twice are written
-    twice, rows that share an id next to each other. No rows, no shards. A file has a name of its own for
+    twice, rows that share an id next to each other. No rows, no shards. Ids have to be whole numbers of at
+    most 64 bits; others are refused before any work. A file has a name of its own for
     each attempt at a task, and only those of the attempts that counted are listed."""
     spark = docs.sparkSession
+    if not isinstance(docs.schema[id].dataType, T.IntegralType):
+        raise ValueError(f"document ids have to be whole numbers, not {docs.schema[id].dataType.simpleString()}")
     target = files.folder(spark, "tokens")
     rows = picked(docs, doc_id=id, text=text).withColumn("doc_id", F.col("doc_id").cast("long"))
     dealt = rows.repartitionByRange("doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id")

@@ -85,6 +85,24 @@ def test_token_files(spark, library):
     assert whole[12] == dict(expected_ids(library))[12] + [2]
 
 
+def test_token_files_of_far_ids(spark):
+    far = [(-(1 << 63), "one two"), (-5, ""), (3, "three"), ((1 << 63) - 1, None)]
+    shards = token_files.write(docs(spark, far).coalesce(1), tokenizer_path(), end_id=2)
+    got = token_files.read(shards).collect()
+    assert [r["doc_id"] for r in sorted(got, key=lambda r: r["start"])] == [i for i, _ in far]
+    with pytest.raises(ValueError, match="whole numbers"):
+        token_files.write(spark.createDataFrame([("a", "b")], "doc_id string, text string"), tokenizer_path(), 2)
+
+
+def test_library_encoder_with_a_small_cache(library, monkeypatch):
+    monkeypatch.setattr(token_files, "CACHE_BYTES", 2_000)
+    coder = token_files.LibraryEncoder(tokenizer_path())
+    for _ in range(3):
+        texts = [t or "" for _, t in rows()]
+        got = [np.frombuffer(b, coder.kind).tolist() for b in coder.encode(texts)]
+        assert got == [library.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 @pytest.mark.parametrize("values", [[], [0], [7], [0, 0, 0], [0, 1, 1, 5, 10**12], list(range(2_000)), [2**40] * 700])
 def test_elias_fano(values):
     read = EliasFano(encode(np.array(values, np.int64)))
@@ -104,3 +122,25 @@ def test_elias_fano_space_and_select():
     assert (read.slice(255, 40_001) == values[255:40_001]).all()
     with pytest.raises(ValueError):
         encode(np.array([2, 1]))
+
+
+def test_registered_queries_equal_the_library(spark, library):
+    from tankwise.llm.queries import QUERIES
+
+    folder = "/root/testdata/sf0.001"
+    corpus = [(r["doc_id"], r["text"] or "") for r in spark.read.parquet(f"{folder}/documents.parquet").collect()]
+    coded = {i: library.encode(t, add_special_tokens=False).ids for i, t in corpus}
+    got = {r["doc_id"]: r for r in QUERIES["op3_bpe"](spark, folder).collect()}
+    assert set(got) == set(coded)
+    for i, ids in coded.items():
+        decoded = library.decode(ids, skip_special_tokens=False)
+        want = len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest()
+        assert tuple(got[i][c] for c in ("n_tokens", "ids_sha256", "decoded_sha256")) == want
+    start = 0
+    files = {r["doc_id"]: r for r in QUERIES["op4_token_files"](spark, folder).collect()}
+    for i in sorted(coded):
+        ids = coded[i] + [2]
+        assert (files[i]["start"], files[i]["n_tokens"]) == (start, len(ids))
+        assert files[i]["ids_crc32"] == zlib.crc32(np.array(ids, "<u4").tobytes())
+        start += len(ids)
+    assert len(files) == len(coded)
