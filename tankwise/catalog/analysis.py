@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tankwise.catalog.preparation import CANONICAL_ORDER, SENSORS, canonical
 from tankwise.catalog.registry import CANONICAL, TELEMETRY, all_rounded, register, rounded
-from tankwise.operators import align, batch, changepoints, features, neighbours, similarity
+from tankwise.operators import align, batch, changepoints, features, neighbours, pelt, similarity
 from tankwise.sources.readers import table
 from tankwise.sources.telemetry import ORDER, telemetry
 
@@ -445,3 +445,37 @@ def cp_diff(spark, folder):
 @register("cp_boundaries", f"SELECT *, count(*) OVER () AS num_changepoints FROM ({CUSUM_SQL})")
 def cp_boundaries(spark, folder):
     return changepoints.boundaries(telemetry(spark, folder), ORDER, "pressure_kpa", "cusum")
+
+
+PELT_PENALTY = 5_000
+
+
+@register(
+    "cp_pelt",
+    f"""WITH RECURSIVE {TELEMETRY}, x AS (
+      SELECT batch_id, event_id, timestamp_index, pressure_kpa AS v,
+             row_number() OVER (PARTITION BY batch_id {TIME_ORDER}) AS i FROM t WHERE pressure_kpa IS NOT NULL),
+    p AS (SELECT *, sum(v) OVER w AS a, sum(v * v) OVER w AS b FROM x WINDOW w AS (PARTITION BY batch_id ORDER BY i)),
+    l AS (SELECT batch_id, count(*) AS n, list_prepend(0.0::DOUBLE, list(a ORDER BY i)) AS s, list_prepend(0.0::DOUBLE, list(b ORDER BY i)) AS q
+          FROM p GROUP BY batch_id),
+    r AS (
+      SELECT batch_id, 0::BIGINT AS i, [-{PELT_PENALTY}::DOUBLE] AS f, [0::BIGINT] AS back FROM l
+      UNION ALL
+      SELECT batch_id, i, list_append(f, list_min(c) + {PELT_PENALTY}), list_append(back, list_position(c, list_min(c)) - 1)
+      FROM (
+        SELECT r.batch_id, r.i + 1 AS i, f, back,
+               list_transform(range(r.i + 1), lambda k: f[k + 1] + (q[r.i + 2] - q[k + 1])
+                 - (s[r.i + 2] - s[k + 1]) * (s[r.i + 2] - s[k + 1]) / (r.i + 1 - k)) AS c
+        FROM r JOIN l USING (batch_id) WHERE r.i < l.n)),
+    e AS (SELECT r.batch_id, r.i AS n, f[r.i + 1] AS cost, back FROM r JOIN l ON l.batch_id = r.batch_id AND l.n = r.i),
+    z AS (
+      SELECT batch_id, cost, back, n AS upto, back[n + 1] AS idx FROM e
+      UNION ALL SELECT batch_id, cost, back, idx, back[idx + 1] FROM z WHERE idx > 0)
+    SELECT z.batch_id, z.idx, x.event_id, z.upto - z.idx AS rows,
+           {rounded('(l.s[z.upto + 1] - l.s[z.idx + 1]) / (z.upto - z.idx)', 'mean')}, {rounded('z.cost', 'cost')}
+    FROM z JOIN l ON l.batch_id = z.batch_id JOIN x ON x.batch_id = z.batch_id AND x.i = z.idx + 1""",
+)
+def cp_pelt(spark, folder):
+    """Pieces of constant mean pressure of every batch, by optimal partitioning."""
+    found = pelt.segments(telemetry(spark, folder), ORDER, "pressure_kpa", ["batch_id"], PELT_PENALTY)
+    return found.select("batch_id", "idx", "event_id", "rows", "mean", "cost")

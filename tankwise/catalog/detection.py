@@ -10,6 +10,7 @@ from tankwise.catalog.preparation import CANONICAL_ORDER, MEASURES, SENSORS, TEL
 from tankwise.catalog.registry import CANONICAL, TELEMETRY, all_rounded, register, rounded
 from tankwise.operators import anomaly, batch, report, validate
 from tankwise.operators.anomaly import HELPERS, PRIORITY, SEVERITIES, AnomalyDetector
+from tankwise.session import staged_path
 from tankwise.sources.readers import table
 from tankwise.sources.telemetry import ORDER, telemetry
 
@@ -71,20 +72,37 @@ RULES_SQL = " UNION ALL ".join(
 )
 
 
+RULES = [
+    validate.Schema("timestamp_index"),
+    validate.Schema("co2_ppm"),
+    validate.Schema("humidity"),
+    validate.Range("co2_ppm", 5, 2000),
+    validate.Range("pressure_kpa", 50, 200),
+    validate.DuplicateTimes("timestamp_index"),
+    validate.MissingShare(0.05),
+    validate.OutlierShare("co2_ppm"),
+]
+
+
+def checked(spark, folder):
+    """Telemetry in which no row lacks a time."""
+    t = telemetry(spark, folder)
+    return t.withColumn("timestamp_index", F.coalesce("timestamp_index", F.lit(0).cast("timestamp")))
+
+
 @register("validate_rules", f"WITH {TELEMETRY} {RULES_SQL}")
 def validate_rules(spark, folder):
-    rules = [
-        validate.Schema("timestamp_index"),
-        validate.Schema("co2_ppm"),
-        validate.Schema("humidity"),
-        validate.Range("co2_ppm", 5, 2000),
-        validate.Range("pressure_kpa", 50, 200),
-        validate.DuplicateTimes("timestamp_index"),
-        validate.MissingShare(0.05),
-        validate.OutlierShare("co2_ppm"),
-    ]
-    t = telemetry(spark, folder)
-    return validate.validate(t.withColumn("timestamp_index", F.coalesce("timestamp_index", F.lit(0).cast("timestamp"))), rules)
+    return validate.validate(checked(spark, folder), RULES)
+
+
+@register(
+    "validate_observed",
+    f"WITH {TELEMETRY}, v AS ({RULES_SQL})"
+    " SELECT *, 'run 1' AS run_id, (SELECT bool_and(passed) FROM v) AS overall FROM v",
+)
+def validate_observed(spark, folder):
+    """The rules' verdicts over the rows as they are written, under a run's name."""
+    return validate.write_validated(checked(spark, folder), RULES, staged_path(spark, "validated"), "run 1")
 
 
 @register(

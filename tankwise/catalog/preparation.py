@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 from tankwise import jobs
 from tankwise.catalog.registry import CANONICAL, TELEMETRY, all_rounded, register, rounded
 from tankwise.functions.phases import phase_by_level, phase_cut, label_code
-from tankwise.operators import align, missing, outliers, resample, schema_map
+from tankwise.operators import align, missing, outliers, resample, schema_map, states
 from tankwise.operators.scaling import Scaler
+from tankwise.session import staged_path
+from tankwise.sources import readers
 from tankwise.sources.readers import parse_payloads, table
 from tankwise.sources.telemetry import ORDER, telemetry
 
@@ -554,3 +556,43 @@ def preprocess_by_tank(spark, folder):
 def preprocess_e2e(spark, folder):
     """The same with gaps filled in the row order of the whole table."""
     return _preprocessed(spark, folder, gaps_by=())
+
+
+@register(
+    "incremental_fit",
+    f"""WITH {CANONICAL}, x AS (
+      SELECT tank_id, 'co2_lpm' AS "column", co2_lpm AS v FROM c
+      UNION ALL SELECT tank_id, 'pressure_bar', pressure_bar FROM c),
+    m AS (SELECT tank_id, "column", count(v) AS n, avg(v) AS mu FROM x GROUP BY ALL),
+    d AS (SELECT x.*, n, mu, v - mu AS e FROM x JOIN m USING (tank_id, "column"))
+    SELECT tank_id, "column", n, {rounded('any_value(mu)', 'mean', 4)}, {rounded('stddev_samp(v)', 'std', 4)},
+      round(CASE WHEN sum(e * e) > 0 THEN sqrt(n) * sum(e * e * e) / (sum(e * e) * sqrt(sum(e * e))) ELSE 0 END, 4) + 0.0 AS skew,
+      round(CASE WHEN sum(e * e) > 0 THEN n * sum(e * e * e * e) / (sum(e * e) * sum(e * e)) - 3 ELSE 0 END, 4) + 0.0 AS kurt,
+      {rounded('min(v)', 'low', 4)}, {rounded('max(v)', 'high', 4)}
+    FROM d GROUP BY tank_id, "column", n""",
+    digits=4,
+)
+def incremental_fit(spark, folder):
+    """Statistics per tank from the stored states of all days but the last, to which the last is added."""
+    rows, columns, path = canonical(spark, folder), ["co2_lpm", "pressure_bar"], staged_path(spark, "states")
+    newest = rows.agg(F.max("batch_id")).first()[0]
+    if newest is None:
+        return states.summary(states.merged(states.states(rows, ["tank_id"], columns), ["tank_id"]))
+    states.append(rows.filter(F.col("batch_id") < newest), path, ["tank_id"], columns, "before")
+    states.append(rows.filter(F.col("batch_id") == newest), path, ["tank_id"], columns, newest)
+    found = states.summary(states.read(spark, path, ["tank_id"]))
+    return found.select("tank_id", "column", "n", "mean", "std", "skew", "kurt", "low", "high")
+
+
+@register(
+    "record_extras",
+    f"SELECT event_id, {rounded('value', 'co2_lpm')}, CAST(json_extract(props, '$.k') AS BIGINT) AS k,"
+    " 'T' || user_id AS tank FROM events",
+)
+def record_extras(spark, folder):
+    """Records with a nested field beyond the typed ones, and back."""
+    events = table(spark, folder, "events")
+    made = F.concat(F.lit('{"co2_lpm":'), F.col("value").cast("string"), F.lit(',"props":'), F.col("props"), F.lit(',"tank":"T'), F.col("user_id").cast("string"), F.lit('"}'))
+    parsed = readers.with_extras(events.select("event_id", made.alias("body")), "body")
+    told = parsed.select("event_id", "co2_lpm", readers.extra("props", "$.k", "long").alias("k"), readers.extra("tank", "$", "string").alias("tank"))
+    return told

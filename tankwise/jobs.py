@@ -81,11 +81,11 @@ def canonical_rows(records: DataFrame, order: Iterable[str]) -> DataFrame:
     return with_identity(to_canonical(coalesce_aliases(records), order))
 
 
-def score(records: DataFrame, model: PhaseModel, order: Iterable[str]) -> DataFrame:
-    """Phase forecast of every batch."""
+def score(records: DataFrame, model: PhaseModel, order: Iterable[str], keys: Iterable[str] = ("tank_id",)) -> DataFrame:
+    """Phase forecast of every batch; lags and frames do not run across ``keys``."""
     rows = canonical_rows(records, order)
     order = [o if o in rows.columns else "timestamp" for o in order]
-    return model.forecast(all_features(rows, order), order)
+    return model.forecast(all_features(rows, order, [k for k in keys if k in rows.columns]), order)
 
 
 def detect(records: DataFrame, order: Iterable[str], keys: Iterable[str] = (), as_json: bool = False) -> DataFrame:

@@ -7,7 +7,9 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tankwise.operators.pelt import segments
 from tankwise.plans.ordered import POSITION, Ordered, arrange
+from tankwise.session import stage
 
 WIDEST_WINDOW = 50  # fixed value: half-window, unless a tenth of the series is shorter
 
@@ -75,7 +77,14 @@ def _derivative(arranged: Ordered, threshold: float) -> DataFrame:
     return stepped.scan().result().filter(F.abs("_step") > threshold * spread)
 
 
+def partitioned(df: DataFrame, order: Iterable[str], column: str, keys: Iterable[str], penalty: float) -> DataFrame:
+    """Changepoints of every key's series by optimal partitioning, as ``(keys, idx, <order columns>)``."""
+    order, keys = list(order), list(keys)
+    found = segments(df, order, column, keys, penalty).filter(F.col("idx") > 0)
+    return found.select(*dict.fromkeys([*keys, "idx", *order]))
+
+
 def boundaries(df: DataFrame, order: Iterable[str], column: str, method: str = "cusum", threshold: float = 3.0) -> DataFrame:
     """Changepoints with the number of all changepoints beside each."""
-    found = detect(df, order, column, method, threshold)
+    found = stage(detect(df, order, column, method, threshold))  # counted and returned
     return found.withColumn("num_changepoints", found.agg(F.count(F.lit(1))).scalar())

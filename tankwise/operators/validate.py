@@ -6,7 +6,7 @@ from collections.abc import Iterable
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -214,11 +214,8 @@ def sensor_rules() -> list:
     ]
 
 
-def validate(df: DataFrame, rules: Iterable, run_id: str | None = None) -> DataFrame:
-    """One row per rule: ``(rule, passed, violations, message)``.
-
-    All rules share one aggregate over the rows; only duplicate checks, which group, add a job of
-    their own. A rule that cannot be analysed becomes a failed rule."""
+def _compiled(df: DataFrame, rules: Iterable) -> tuple[list[Column], list[Column], list[DataFrame]]:
+    """Aggregates of all rules, their verdicts in terms of these, and rules that need a job of their own."""
     aggregates, verdicts, separate = [F.count(F.lit(1)).alias("_rows")], [], []
     for rule in rules:
         try:
@@ -237,16 +234,55 @@ def validate(df: DataFrame, rules: Iterable, run_id: str | None = None) -> DataF
             aggregates += [a.alias(n) for a, n in zip(compiled.aggregates, names)]
             violations, text = compiled.verdict([F.col(n) for n in names], F.col("_rows"))
             verdicts.append(_result(rule.name, violations, text))
+    return aggregates, verdicts, separate
+
+
+def validate(df: DataFrame, rules: Iterable, run_id: str | None = None) -> DataFrame:
+    """One row per rule: ``(rule, passed, violations, message)``.
+
+    All rules share one aggregate over the rows; only duplicate checks, which group, add a job of
+    their own. A rule that cannot be analysed becomes a failed rule."""
+    aggregates, verdicts, separate = _compiled(df, rules)
     results = [df.agg(*aggregates).select(F.inline(F.array(*verdicts)))] if verdicts else []
-    results += separate
+    return _together(df.sparkSession, results + separate, run_id)
+
+
+def _together(spark: SparkSession, results: list[DataFrame], run_id: str | None) -> DataFrame:
     if not results:
-        return df.sparkSession.createDataFrame([], RESULT)
+        return spark.createDataFrame([], RESULT)
     combined = results[0]
     for more in results[1:]:
         combined = combined.unionByName(more)
     return combined if run_id is None else combined.withColumn("run_id", F.lit(run_id))
 
 
+def write_validated(df: DataFrame, rules: Iterable, path: str, run_id: str, verdicts: str | None = None, mode: str = "error") -> DataFrame:
+    """Write ``df`` as parquet and return the verdicts over what was written, in one pass over the rows.
+
+    The rules' aggregates are observed while the rows are written. Duplicate checks group, which an
+    observation can't; they read their keys from the files. With ``verdicts``, the rows are also appended to
+    the table there. Columns: those of :func:`validate`, ``run_id`` and ``overall`` (all rules passed)."""
+    rules = list(rules)
+    aggregates, cells, separate = _compiled(df, rules)
+    spark = df.sparkSession
+    seen = Observation()
+    df.observe(seen, *aggregates).write.mode(mode).parquet(path)
+    results = []
+    if cells:
+        schema = df.agg(*aggregates).schema
+        row = spark.createDataFrame([tuple(seen.get[f.name] for f in schema.fields)], schema)
+        results.append(row.select(F.inline(F.array(*cells))))
+    if separate:
+        written = spark.read.schema(df.schema).parquet(path)
+        results += _compiled(written, rules)[2]
+    found = _together(spark, results, run_id)
+    found = found.crossJoin(F.broadcast(overall(found).select(F.col("passed").alias("overall"))))  # one row
+    if verdicts is None:
+        return found
+    found.write.mode("append").parquet(verdicts)
+    return spark.read.schema(found.schema).parquet(verdicts).filter(F.col("run_id") == run_id)
+
+
 def overall(results: DataFrame) -> DataFrame:
     """Whether every rule passed, and the number that did not."""
     return results.agg(

@@ -257,7 +257,7 @@ def arrange(
     if missing:
         raise ValueError(f"columns not in the input: {', '.join(missing)}")
     limit = limit or rows_per_slice(df)
-    largest, total = _group_size(df, keys)
+    largest, total = group_size(df, keys)
     if largest <= limit:
         return Ordered(df, keys, order, split=False)
     rows = _cut(df, order, keys, max(2, -(-total // limit)))
@@ -267,7 +267,8 @@ def arrange(
     return Ordered(rows, keys, order, split=True, cuts=cuts)
 
 
-def _group_size(df: DataFrame, keys: tuple[str, ...]) -> tuple[int, int]:
+def group_size(df: DataFrame, keys: tuple[str, ...]) -> tuple[int, int]:
+    """Rows of the largest group, and of the table."""
     if not keys:
         total = df.count()
         return total, total

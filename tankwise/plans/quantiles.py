@@ -8,7 +8,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tankwise.plans.ordered import arrange, rows_per_slice
+from tankwise.plans.ordered import arrange, group_size, rows_per_slice
 
 _ACCURACY = 10_000
 _BOUNDED = 100_000
@@ -151,9 +151,16 @@ def group_quantiles(
 ) -> DataFrame:
     """Quantiles per group in long form: ``by``, ``column``, ``q`` (array in the order of ``shares``).
 
-    Rows are first reduced to (group, column, value, count), which spreads a large group over all
-    tasks; ranks then come from a running count per group that is cut into slices where needed."""
+    The sizes of the groups are measured first. Where none has more rows than one task may order, one
+    aggregate holds the values of a group. Otherwise rows are reduced to (group, column, value, count),
+    which spreads a large group over all tasks, and ranks come from a running count per group that is cut
+    into slices where needed."""
     by = list(by)
+    if group_size(df, tuple(by))[0] <= rows_per_slice(df):
+        wanted = F.array(*map(F.lit, shares))
+        found = df.groupBy(*by).agg(*(F.percentile(_known(c), wanted).alias(f"_q{i}") for i, c in enumerate(columns)))
+        cells = [F.struct(F.lit(c).alias("column"), F.col(f"_q{i}").alias("q")) for i, c in enumerate(columns)]
+        return found.select(*by, F.inline(F.array(*cells))).filter(F.col("q").isNotNull())
     long = df.select(
         *by,
         F.explode(

@@ -11,8 +11,21 @@ ORDER = ("timestamp_index", "event_id")
 
 
 def telemetry(spark: SparkSession, folder: str) -> DataFrame:
-    """Sensor rows derived from events; gaps in ``co2_ppm`` follow a rule on the event number."""
-    events = table(spark, folder, "events")
+    """Sensor rows derived from events."""
+    return telemetry_of(table(spark, folder, "events"))
+
+
+def telemetry_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """The same rows as a stream over the table's files."""
+    folder = folder.rstrip("/")
+    schema = spark.read.parquet(f"{folder}/events.parquet").schema
+    # A stream reads folders or patterns; the pattern fits a table that is one file too.
+    rows = spark.readStream.schema(schema).parquet(f"{folder}/event[s].parquet")
+    return telemetry_of(rows.withColumn("ts", F.col("ts").cast("timestamp")))
+
+
+def telemetry_of(events: DataFrame) -> DataFrame:
+    """Sensor rows of events, a table's or a stream's; gaps in ``co2_ppm`` follow a rule on the number."""
     k = F.regexp_extract("props", "([0-9]+)", 1).cast("double")
     number = F.col("event_id")
     gap = ((number % 17 == 0) & (number != 0)) | (number % 200).between(40, 45)
