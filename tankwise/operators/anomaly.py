@@ -168,7 +168,7 @@ class AnomalyDetector:
         batch: str = "batch_id",
     ) -> DataFrame:
         """The union, reduced to one anomaly per time (or per ``dedup`` columns): the first type in
-        order of priority. A minimum per key needs no sort and combines on the map side."""
+        order of priority. Rows are combined before they are shuffled."""
         found = self.union(df, thresholds=thresholds, golden=golden, batch=batch)
         return first_per_key(found, list(dedup or [self.order[0]]), self.order)
 

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tankwise.functions.moments import rolling_stages, statistic
 from tankwise.functions.times import hours_between, minutes_between
@@ -31,27 +32,24 @@ def batch_metrics(
 ) -> DataFrame:
     """Peak and its time, oxygen half-life, pressure growth, duration and size of every batch.
 
-    Two column-pruned passes of partial aggregation; rows are never shuffled. The first finds peak,
-    ends and first values per batch, the second the earliest times that depend on them. Metrics of
-    absent sensors are NULL."""
+    Column-pruned passes of partial hash aggregation; rows are never shuffled or sorted. The first pass finds
+    peak and ends per batch, the second the values in the rows at the ends, the third the earliest times that
+    depend on both. Rows without a time count as samples only. Metrics of absent sensors are NULL."""
     order = list(order)
     time = order[0]
     df = with_batches(df, batch, time)
     absent = {c: F.lit(None).cast("double") for c in (co2, do, pressure) if c not in df.columns}
     slim = df.withColumns(absent).select(*dict.fromkeys([batch, *order, co2, do, pressure]))
-    opening = F.min(F.struct(*order, F.col(do).alias("_do"), F.col(pressure).alias("_pressure")))
-    closing = F.max(F.struct(*order, F.col(pressure).alias("_pressure")))
-    firsts, small = settle(
+    ends, small = settle(
         slim.groupBy(batch).agg(
             F.max(co2).alias("_peak"),
             F.min(time).alias("_start"),
             F.max(time).alias("_end"),
-            opening["_do"].alias("_first_do"),
-            opening["_pressure"].alias("_first_pressure"),
-            closing["_pressure"].alias("_last_pressure"),
             F.count(F.lit(1)).alias("num_samples"),
         )
     )
+    edges = _edge_values(attach(slim, ends, [batch], small, how="inner"), order, batch, do, pressure)
+    firsts, small = settle(attach(edges, ends, [batch], small, how="inner"))
     known = attach(slim.select(batch, time, co2, do), firsts, [batch], small, how="inner")
     carried = ("_peak", "_start", "_end", "_first_pressure", "_last_pressure", "num_samples")
     metrics = known.groupBy(batch).agg(
@@ -70,6 +68,33 @@ def batch_metrics(
     )
 
 
+def _edge_values(known: DataFrame, order: list[str], batch: str, do: str, pressure: str) -> DataFrame:
+    """Oxygen and pressure in the first row of every batch, and pressure in the last one.
+
+    Among the rows of the first and last instant a single number decides by itself; several columns, or
+    others than numbers, are put into one number by a row number over these few rows."""
+    time, ties = order[0], order[1:]
+    rows = known.filter((F.col(time) == F.col("_start")) | (F.col(time) == F.col("_end")))
+    if not ties:
+        tie = F.lit(0)
+    elif len(ties) == 1 and isinstance(known.schema[ties[0]].dataType, T.NumericType):
+        tie = F.col(ties[0])
+    else:
+        rows = rows.withColumn("_tie", F.row_number().over(Window.partitionBy(batch, time).orderBy(*ties)))
+        tie = F.col("_tie")
+    rows = rows.withColumn("_tie", tie)
+    first, last = F.col(time) == F.col("_start"), F.col(time) == F.col("_end")
+
+    def at(edge, pick, value: str):
+        return pick(F.when(edge, F.col(value)), F.when(edge, F.col("_tie")))
+
+    return rows.groupBy(batch).agg(
+        at(first, F.min_by, do).alias("_first_do"),
+        at(first, F.min_by, pressure).alias("_first_pressure"),
+        at(last, F.max_by, pressure).alias("_last_pressure"),
+    )
+
+
 def rolling_statistics(
     df: DataFrame | Ordered,
     order: Iterable[str],

@@ -10,12 +10,13 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tankwise.functions.phases import PHASES
 from tankwise.operators.boosting import Boosting, fit_softmax
-from tankwise.plans.ordered import POSITION, arrange
+from tankwise.plans.ordered import arrange
+from tankwise.plans.params import settle
 from tankwise.sources.schemas import numeric_columns
 
 #: Classes that one model tells apart at most; more are refused.
@@ -39,21 +40,54 @@ def prepare_features(df: DataFrame, columns: Iterable[str] | None = None) -> tup
 def stratified_split(
     df: DataFrame, label: str, tiebreak: Iterable[str], share: float = 0.2, seed: int = 42
 ) -> DataFrame:
-    """Add ``is_test``: exactly ``floor(share * n)`` rows of every class, chosen by a seeded hash.
+    """Add ``is_test``: exactly ``floor(share * n)`` rows of every class, those of least seeded hash.
 
-    ``tiebreak`` identifies a row. When a class has a single row, the split ignores classes; fewer
+    ``tiebreak`` identifies a row; rows of one hash are test rows together. When a class has a single row, the split ignores classes; fewer
     than two classes are an error."""
     tiebreak = list(tiebreak)
-    sizes = df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).agg(
-        F.count(F.lit(1)).alias("classes"), F.min("n").alias("smallest")
-    ).first()
+    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
+    sizes = counts.agg(F.count(F.lit(1)).alias("classes"), F.min("n").alias("smallest")).first()
     if sizes["classes"] < 2:
         raise ValueError("the label needs at least two classes")
     keys = [label] if sizes["smallest"] >= 2 else []
     drawn = df.withColumn("_draw", F.xxhash64(F.lit(seed), *tiebreak))
-    ranked = arrange(drawn, ["_draw", *tiebreak], keys).scan(sums={"_one": F.lit(1)}, totals=["_one"]).result()
-    is_test = F.col(POSITION) < F.floor(F.lit(share) * F.col("_one_total"))
-    return ranked.withColumn("is_test", is_test).drop("_draw", "_one", "_one_total", POSITION)
+    wanted = (counts if keys else df.agg(F.count(F.lit(1)).alias("n"))).withColumn("_left", F.floor(F.lit(share) * F.col("n")))
+    wanted, small = settle(wanted.drop("n").withColumnRenamed(label, "_class") if keys else wanted.drop("n"))
+    limits = lowest(drawn, "_draw", keys, wanted, small)
+    few, small = settle(limits)
+    few = F.broadcast(few) if small else few
+    # Classes of which no row is wanted have no limit; without classes there is one at most.
+    joined = drawn.join(few, F.col(label).eqNullSafe(F.col("_class")) if keys else F.lit(True), "left")
+    return joined.withColumn("is_test", F.coalesce(F.col("_draw") <= F.col("_limit"), F.lit(False))).drop("_draw", "_class", "_limit")
+
+
+def lowest(rows: DataFrame, value: str, keys: list[str], wanted: DataFrame, small: bool, bits: int = 16) -> DataFrame:
+    """Per key (``_class``) the value (``_limit``) that exactly ``_left`` of its different 64-bit values do not
+    exceed; NULL if none is wanted.
+
+    Selection by digits: counts per key and leading digit, of which the one with the wanted rank is looked
+    into next. A round is one combining aggregate of at most ``2 ** bits`` cells a key, without a sort of the
+    rows; four rounds settle 64 bits."""
+    by = ["_class"] if keys else []
+    place = F.col(value).bitwiseXOR(F.lit(-(1 << 63)))  # unsigned order of the bits
+    named = rows.select(*([F.col(keys[0]).alias("_class")] if keys else []), place.alias("_bits"))
+    open_ = wanted.withColumn("_prefix", F.lit(0).cast("long"))
+    for done in range(bits, 65, bits):
+        held = F.broadcast(open_) if small else open_
+        same = F.lit(True) if done == bits else F.shiftrightunsigned("_bits", 64 - done + bits) == F.col("_prefix")
+        if keys:
+            joined = named.alias("r").join(held.alias("o"), F.col("r._class").eqNullSafe(F.col("o._class")) & same)
+            joined = joined.select("r._class", "_bits", "_left", "_prefix")
+        else:
+            joined = named.join(held, same) if done > bits else named.join(held)  # one row
+        digit = F.shiftrightunsigned("_bits", 64 - done)
+        cells = joined.groupBy(*by, "_left", digit.alias("_digit")).agg(F.count(F.lit(1)).alias("_n"))
+        upto = F.sum("_n").over(Window.partitionBy(*by).orderBy("_digit").rowsBetween(Window.unboundedPreceding, 0))
+        # At most 2 ** bits cells of a key are summed up.
+        found = cells.withColumn("_upto", upto).filter((F.col("_upto") >= F.col("_left")) & (F.col("_upto") - F.col("_n") < F.col("_left")))
+        left = (F.col("_left") - (F.col("_upto") - F.col("_n"))).alias("_left")
+        open_, small = settle(found.select(*by, left, F.col("_digit").alias("_prefix")))
+    return open_.select(*by, F.col("_prefix").bitwiseXOR(F.lit(-(1 << 63))).alias("_limit"))
 
 
 def confusion(df: DataFrame, label: str, prediction: str) -> DataFrame:
@@ -182,10 +216,23 @@ def _write_text(spark: SparkSession, text: str, path: str) -> None:
 
 
 def latest_rows(df: DataFrame, order: Iterable[str], keys: list[str]) -> DataFrame:
-    """The last row in ``order`` of every key, by a map-side combined aggregate."""
-    rest = [c for c in df.columns if c not in keys]
-    last = df.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("_row"))
-    return last.select(*keys, "_row.*")
+    """The last row in ``order`` of every key.
+
+    A hash aggregate finds the last instant of each key; only the rows of these instants are put in order,
+    of which a task passes on one per key."""
+    order = list(order)
+    time = order[0]
+    if keys:
+        ends = df.groupBy(*keys).agg(F.max(time).alias("_last"))
+        ends, small = settle(ends.withColumnsRenamed({k: f"_key_{i}" for i, k in enumerate(keys)}))
+        same = F.col(time).eqNullSafe(F.col("_last"))
+        for i, k in enumerate(keys):
+            same = same & F.col(k).eqNullSafe(F.col(f"_key_{i}"))
+        held = df.join(F.broadcast(ends) if small else ends, same).select(*df.columns)
+    else:
+        held = df.filter(F.col(time).eqNullSafe(df.agg(F.max(time)).scalar()))
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(*(F.desc(o) for o in order)))
+    return held.withColumn("_place", place).filter(F.col("_place") == 1).drop("_place")
 
 
 def _indexed(train: DataFrame, label: str) -> tuple[DataFrame, list[int]]:

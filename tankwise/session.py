@@ -78,6 +78,15 @@ def staged_path(spark: SparkSession, kind: str) -> str:
     return f"{stage_root(spark).rstrip('/')}/{kind}/{uuid.uuid4().hex}"
 
 
+def staged_bytes(df: DataFrame) -> int:
+    """Bytes of the files that :func:`stage` wrote for a frame."""
+    spark, total = df.sparkSession, 0
+    for folder in {name.rpartition("/")[0] for name in df.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        total += path.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(path).getLength()
+    return total
+
+
 def release(*staged: DataFrame) -> None:
     """Delete what :func:`stage` wrote for these frames, once nothing reads them any more.
 
