@@ -19,39 +19,49 @@ def turns(conversations: DataFrame, conv_id: str = "conv_id", turn: str = "turn"
     """``conv_id, turn, sub, role, text`` in canonical form.
 
     A null role or text is empty, a null turn number comes first (-1), rows without a conversation are no
-    turns. A row given twice is one turn. Different rows with one turn number are ordered by role and text,
-    and numbered by ``sub``."""
+    turns. A row given twice is one turn. Different rows with one turn number are told apart and ordered by
+    ``sub``, 60 bits of a digest of role and text, so that no group of rows has to be numbered."""
     rows = picked(conversations, conv_id=conv_id, turn=turn, role=role, text=text).select(
         "conv_id",
         F.coalesce(F.col("turn").cast("long"), F.lit(-1)).alias("turn"),
         F.coalesce("role", F.lit("")).alias("role"),
         F.coalesce("text", F.lit("")).alias("text"),
     )
-    at_once = Window.partitionBy("conv_id", "turn").orderBy("role", "text")
-    return (
-        rows.filter(F.col("conv_id").isNotNull())
-        .distinct()
-        .withColumn("sub", F.row_number().over(at_once).cast("long"))
+    digest = F.substring(F.sha2(F.concat_ws(":", "role", "text"), 256), 1, 15)
+    return rows.filter(F.col("conv_id").isNotNull()).distinct().withColumn("sub", F.conv(digest, 16, 10).cast("long"))
+
+
+def repeated_replies(turns: DataFrame) -> DataFrame:
+    """Pairs from single conversations, one row per turn of the longer side: ``pair_id, turn, sub,
+    chosen_role, chosen_text, rejected_role, rejected_text``.
+
+    ``chosen`` is the whole conversation. ``rejected`` ends with the last assistant turn and says the first
+    reply again in place of every later one; a single reply becomes empty. So sides differ in any number of
+    turns and in length. A conversation without an assistant has equal sides. Ids may be of any type."""
+    reply = F.col("role") == ASSISTANT
+    at = turns.filter(reply).groupBy("conv_id", "turn").agg(F.min("sub").alias("low"), F.max("sub").alias("high"), F.count(F.lit(1)).alias("n"))
+    ends = at.groupBy("conv_id").agg(
+        F.min("turn").alias("first_turn"),
+        F.min_by("low", "turn").alias("first_sub"),
+        F.max("turn").alias("last_turn"),
+        F.max_by("high", "turn").alias("last_sub"),
+        F.sum("n").alias("replies"),
     )
-
-
-def swapped_replies(turns: DataFrame) -> DataFrame:
-    """Pairs from single conversations: ``pair_id, side, turn, sub, role, text``.
-
-    ``chosen`` is a conversation up to its last assistant turn. ``rejected`` is the same with that reply
-    replaced by the last reply of the conversation whose id is less by one (an empty one if there is none).
-    A conversation without an assistant gives no pair."""
-    last = turns.filter(F.col("role") == ASSISTANT).groupBy("conv_id").agg(F.max("turn").alias("last"))
-    chosen = turns.join(last, "conv_id").filter(F.col("turn") <= F.col("last"))
-    reply = chosen.filter((F.col("turn") == F.col("last")) & (F.col("role") == ASSISTANT))
-    other = reply.groupBy((F.col("conv_id") + 1).alias("conv_id")).agg(F.min("text").alias("other"))
-    is_reply = (F.col("turn") == F.col("last")) & (F.col("role") == ASSISTANT)
-    rejected = chosen.join(other, "conv_id", "left").withColumn(
-        "text", F.when(is_reply, F.coalesce("other", F.lit(""))).otherwise(F.col("text"))
-    )
-    columns = [F.col("conv_id").alias("pair_id"), "turn", "sub", "role", "text"]
-    return chosen.select(*columns, F.lit("chosen").alias("side")).unionByName(
-        rejected.select(*columns, F.lit("rejected").alias("side"))
+    known = turns.join(ends, "conv_id", "left")
+    is_first = (F.col("turn") == F.col("first_turn")) & (F.col("sub") == F.col("first_sub"))
+    said = known.filter(is_first).select("conv_id", F.col("text").alias("said"))
+    joined = known.join(said, "conv_id", "left")
+    behind = (F.col("turn") > F.col("last_turn")) | ((F.col("turn") == F.col("last_turn")) & (F.col("sub") > F.col("last_sub")))
+    behind = F.coalesce(behind, F.lit(False))
+    again = F.when(~reply, F.col("text")).when(F.col("replies") == 1, "").otherwise(F.col("said"))
+    return joined.select(
+        F.col("conv_id").alias("pair_id"),
+        "turn",
+        "sub",
+        F.col("role").alias("chosen_role"),
+        F.col("text").alias("chosen_text"),
+        F.when(~behind, F.col("role")).alias("rejected_role"),
+        F.when(~behind, again).alias("rejected_text"),
     )
 
 
@@ -60,28 +70,32 @@ def rendered(role: Column, text: Column) -> Column:
     return F.concat(F.lit("<|"), role, F.lit("|>\n"), text, F.lit("<|end|>\n"))
 
 
-def preference_segments(pairs: DataFrame) -> DataFrame:
-    """One row per rendered turn: ``pair_id, part`` (prompt, chosen or rejected), ``turn, sub, role,
-    rendered, train``.
-
-    ``pairs`` has ``pair_id, side, turn, sub, role, text``. Turns are the same if role and text are. Sides
-    that are equal throughout have a prompt and no completions; sides that differ at once have no prompt;
-    if one side goes on where the other ends, the other's completion is empty. A pair with one side only
-    has that side as completion. Concatenating a part's rows by ``turn, sub`` gives its text."""
+def aligned(pairs: DataFrame) -> DataFrame:
+    """One row per turn number of a pair from ``pair_id, side, turn, sub, role, text``, in the form of
+    :func:`repeated_replies`; a side that has no such turn has nulls."""
     sides = {
         side: pairs.filter(F.col("side") == side).select(
             "pair_id", "turn", "sub", F.col("role").alias(f"{side}_role"), F.col("text").alias(f"{side}_text")
         )
         for side in ("chosen", "rejected")
     }
-    both = sides["chosen"].join(sides["rejected"], ["pair_id", "turn", "sub"], "full_outer")
+    return sides["chosen"].join(sides["rejected"], ["pair_id", "turn", "sub"], "full_outer")
+
+
+def preference_segments(both: DataFrame) -> DataFrame:
+    """One row per rendered turn: ``pair_id, part`` (prompt, chosen or rejected), ``turn, sub, role,
+    rendered, train``.
+
+    ``both`` has the sides of each pair turn by turn (:func:`aligned`). Turns are the same if role and text
+    are. Sides that are equal throughout have a prompt and no completions; sides that differ at once have no
+    prompt; if one side goes on where the other ends, the other's completion is empty. A pair with one side
+    only has that side as completion. Concatenating a part's rows by ``turn, sub`` gives its text."""
     same = F.col("chosen_role").eqNullSafe(F.col("rejected_role")) & F.col("chosen_text").eqNullSafe(
         F.col("rejected_text")
     )
-    differ = both.filter(~same)
-    first_turn = differ.groupBy("pair_id").agg(F.min("turn").alias("at"))
-    at_turn = differ.join(first_turn, "pair_id").filter(F.col("turn") == F.col("at"))
-    first = at_turn.groupBy("pair_id").agg(F.min("at").alias("at"), F.min("sub").alias("at_sub"))
+    # The first difference of each pair: the least sub of every turn number, then the least number.
+    differ = both.filter(~same).groupBy("pair_id", "turn").agg(F.min("sub").alias("sub"))
+    first = differ.groupBy("pair_id").agg(F.min("turn").alias("at"), F.min_by("sub", "turn").alias("at_sub"))
     placed = both.join(first, "pair_id", "left")
     in_prompt = (
         F.col("at").isNull()

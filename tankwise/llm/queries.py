@@ -22,6 +22,7 @@ from tankwise.llm import (
     warc,
 )
 from tankwise.llm.common import table
+from tankwise.session import stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -79,23 +80,27 @@ FROM d LEFT JOIN k ON k.form = d.form LEFT JOIN n ON n.doc_id = d.doc_id"""
 
 CHAT_SQL = """
 WITH t AS (
-  SELECT conv_id, turn, role, text, row_number() OVER (PARTITION BY conv_id, turn ORDER BY role, text) AS sub
+  SELECT *, CAST('0x' || substr(sha256(role || ':' || text), 1, 15) AS BIGINT) AS sub
   FROM (SELECT DISTINCT conv_id, coalesce(turn, -1) AS turn, coalesce(role, '') AS role, coalesce(text, '') AS text
         FROM conversations WHERE conv_id IS NOT NULL)),
-z AS (SELECT conv_id, max(turn) AS last FROM t WHERE role = 'assistant' GROUP BY 1),
-c AS (SELECT t.*, last FROM t JOIN z USING (conv_id) WHERE turn <= last),
-o AS (SELECT conv_id + 1 AS conv_id, min(text) AS other FROM c WHERE turn = last AND role = 'assistant' GROUP BY 1),
+r AS (SELECT *, row_number() OVER w AS k, row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC, sub DESC) AS back,
+             count(*) OVER (PARTITION BY conv_id) AS replies
+      FROM t WHERE role = 'assistant' WINDOW w AS (PARTITION BY conv_id ORDER BY turn, sub)),
+e AS (SELECT conv_id, any_value(replies) AS replies, max(text) FILTER (k = 1) AS said,
+             max(turn) FILTER (back = 1) AS last_turn, max(sub) FILTER (back = 1) AS last_sub FROM r GROUP BY 1),
 b AS (
-  SELECT c.conv_id AS pair_id, turn, sub, role, text,
-         CASE WHEN turn = last AND role = 'assistant' THEN coalesce(other, '') ELSE text END AS alt
-  FROM c LEFT JOIN o USING (conv_id)),
-f AS (SELECT pair_id, min(turn * 1000000 + sub) AS first_at FROM b WHERE text <> alt GROUP BY 1),
-p AS (SELECT b.*, first_at IS NULL OR turn * 1000000 + sub < first_at AS early FROM b LEFT JOIN f USING (pair_id)),
+  SELECT t.conv_id AS pair_id, turn, sub, role, text,
+         coalesce((turn, sub) > (last_turn, last_sub), false) AS gone,
+         CASE WHEN role <> 'assistant' THEN text WHEN replies = 1 THEN '' ELSE said END AS alt
+  FROM t LEFT JOIN e USING (conv_id)),
+f AS (SELECT *, row_number() OVER (PARTITION BY pair_id ORDER BY turn, sub) AS i FROM b),
+d AS (SELECT pair_id, min(i) AS spot FROM f WHERE gone OR text <> alt GROUP BY 1),
+p AS (SELECT f.*, d.spot IS NULL OR i < d.spot AS early FROM f LEFT JOIN d USING (pair_id)),
 s AS (
   SELECT pair_id, CASE WHEN early THEN 'prompt' ELSE 'chosen' END AS part, turn, sub, role, text,
          NOT early AND role = 'assistant' AS train FROM p
   UNION ALL
-  SELECT pair_id, 'rejected', turn, sub, role, alt, role = 'assistant' FROM p WHERE NOT early)
+  SELECT pair_id, 'rejected', turn, sub, role, alt, role = 'assistant' FROM p WHERE NOT early AND NOT gone)
 SELECT pair_id, part, turn, sub, role, '<|' || role || '|>' || chr(10) || text || '<|end|>' || chr(10) AS rendered, train
 FROM s"""
 
@@ -337,8 +342,8 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("op5_chat", CHAT_SQL)
 def op5(spark: SparkSession, folder: str) -> DataFrame:
-    turns = chat.turns(table(spark, folder, "conversations"))
-    return chat.preference_segments(chat.swapped_replies(turns))
+    turns = stage(chat.turns(table(spark, folder, "conversations")))
+    return chat.preference_segments(stage(chat.repeated_replies(turns)))
 
 
 @query("op6_licenses", license_sql())
