@@ -13,11 +13,13 @@ corpus last, by counts over all documents in a fixed number of cells; any order
 
 1. Equal sets are one node. Prefix hashes that more than one node has are buckets; of buckets with the
    same members one stays.
-2. Every member of a bucket is compared with the bucket's leader, the member with the most shared
-   hashes in its prefix, and linked nodes are joined into components. Groups of near copies come together here without looking at their pairs.
-3. Buckets whose members are still in different components are split into blocks of bounded size; the
-   R-tree of a block, or of two, gives the pairs of different components that the bounds let through.
-   What has been compared before is not compared again. Links join the components for good.
+2. In buckets of more than ``CROWD`` nodes every member is first compared with the bucket's leader, the one
+   with the most shared hashes in its prefix, and linked nodes are joined into components. This thins out
+   groups of near copies without looking at their pairs.
+3. Every bucket whose members are in different components, so every smaller one too, is split into blocks
+   of bounded size; the R-tree of a block, or of two, gives the pairs of different components that the
+   bounds let through. What has been compared before is not compared again. Links join the components for
+   good.
 
 Equality of 64-bit hashes stands for equality: among ten billion different sets about three wrong pairs
 are to be expected."""
@@ -41,12 +43,14 @@ PERCENT = 75
 GROUPS = 512
 #: Nodes of a bucket that one task compares with each other, or with as many others.
 BLOCK = 2_000
-LEAF = 32
+#: Nodes of a bucket beyond which its leader is compared with all first.
+CROWD = 16
+LEAF = 8
 _CELL_BITS = 18
-_FILTER_BITS = 24
+_FILTER_BITS = 26
 _ROWS = 4_096
 #: Buckets of a node that its rows know of, to give each pair once.
-_FIRSTS = 64
+_FIRSTS = 32
 
 
 def shingle_sets(column: pa.Array, size: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -158,58 +162,89 @@ def _passes(packed: np.ndarray, values: np.ndarray) -> np.ndarray:
     return (packed[at >> 6] >> (at & 63)) & 1 == 1
 
 
-def _prefix_rows(size: int, percent: int, classes, allowed=None):
-    """Task function: (token, node) for the prefix of every document, where the filter allows the token."""
+def _prefix_rows(size: int, percent: int, classes):
+    """Task function: (token, node) for the prefix of every document. Of a token that several nodes of some
+    documents read together have, the smallest and the largest node are enough to tell that it is shared."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         order = classes.value
-        packed = None if allowed is None else allowed.value
         for batch in batches:
             tokens, nodes, held = [], [], 0
             for _, hashes in shingle_sets(batch.column(0), size):
                 first = prefix(hashes, order, percent).astype(np.int64)
-                if packed is not None:
-                    first = first[_passes(packed, first)]
                 tokens.append(first)
                 nodes.append(np.full(len(first), node_of(hashes), np.int64))
                 held += len(first)
-                if held > 100_000:
-                    yield _pairs(tokens, nodes)
+                if held > 200_000:
+                    yield _ends(np.concatenate(tokens), np.concatenate(nodes))
                     tokens, nodes, held = [], [], 0
             if held:
-                yield _pairs(tokens, nodes)
+                yield _ends(np.concatenate(tokens), np.concatenate(nodes))
 
     return run
 
 
-def _pairs(tokens: list[np.ndarray], nodes: list[np.ndarray]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array(np.concatenate(tokens)), pa.array(np.concatenate(nodes))], ["token", "node"]
-    )
+def _ends(tokens: np.ndarray, nodes: np.ndarray) -> pa.RecordBatch:
+    """The rows of the smallest and of the largest node of every token."""
+    order = np.lexsort((nodes, tokens))
+    tokens, nodes = tokens[order], nodes[order]
+    border = tokens[1:] != tokens[:-1]
+    first, last = np.flatnonzero(np.append(True, border)), np.flatnonzero(np.append(border, True))
+    keep = np.concatenate([first, last[nodes[last] != nodes[first]]])
+    return pa.RecordBatch.from_arrays([pa.array(tokens[keep]), pa.array(nodes[keep])], ["token", "node"])
+
+
+def _shared_rows(size: int, percent: int, classes, allowed):
+    """Task function: (token, node, weight) for the tokens of every document's prefix that the filter
+    allows. The weight ranks nodes by the number of these, ties by node."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        order, packed = classes.value, allowed.value
+        for batch in batches:
+            tokens, nodes, weights, held = [], [], [], 0
+            for _, hashes in shingle_sets(batch.column(0), size):
+                first = prefix(hashes, order, percent).astype(np.int64)
+                first = first[_passes(packed, first)]
+                node = node_of(hashes)
+                tokens.append(first)
+                nodes.append(np.full(len(first), node, np.int64))
+                weights.append(np.full(len(first), min(len(first), (1 << 23) - 1) << 40 | (node >> 24 & (1 << 40) - 1), np.int64))
+                held += len(first)
+                if held > 100_000:
+                    yield _member_rows(tokens, nodes, weights)
+                    tokens, nodes, weights, held = [], [], [], 0
+            if held:
+                yield _member_rows(tokens, nodes, weights)
+
+    return run
+
+
+def _member_rows(*columns: list[np.ndarray]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in columns], ["token", "node", "weight"])
 
 
 def _buckets(texts: DataFrame, size: int, percent: int) -> DataFrame:
     """Staged ``token, node, leader, members``: the buckets of at least two nodes, one of each kind."""
     context = texts.sparkSession.sparkContext
     classes = context.broadcast(frequency_classes(cell_counts(texts, size)))
-    kind = "token long, node long"
-    every = texts.select("text").mapInArrow(_prefix_rows(size, percent, classes), kind)
-    ends = every.groupBy("token").agg(F.min("node").alias("low"), F.max("node").alias("high"))
+    # The tasks have combined what they could; rows of two numbers are dealt out, not the aggregate's three.
+    every = texts.select("text").mapInArrow(_prefix_rows(size, percent, classes), "token long, node long")
+    ends = every.repartition("token").groupBy("token").agg(F.min("node").alias("low"), F.max("node").alias("high"))
     shared = stage(ends.filter(F.col("low") != F.col("high")).select("token"))
     allowed = context.broadcast(membership(shared, "token"))
-    again = texts.select("text").mapInArrow(_prefix_rows(size, percent, classes, allowed), kind)
+    kind = "token long, node long, weight long"
+    again = texts.select("text").mapInArrow(_shared_rows(size, percent, classes, allowed), kind)
     members = stage(again.join(shared, "token").distinct())
     # The text from which near copies were made has more shared hashes in its prefix than they have, whose
     # prefixes begin with what is new in them. So it leads its buckets.
-    shares = members.groupBy("node").agg(F.count(F.lit(1)).alias("shares"))
-    signed = members.join(shares, "node").groupBy("token").agg(
+    signed = members.groupBy("token").agg(
         F.bit_xor("node").alias("x"),
         F.bit_xor(F.xxhash64("node")).alias("y"),
         F.count(F.lit(1)).alias("members"),
-        F.max(F.struct("shares", "node"))["node"].alias("leader"),
+        F.max_by("node", "weight").alias("leader"),
     )
-    kinds = signed.groupBy("x", "y", "members", "leader").agg(F.min("token").alias("token"))
-    found = stage(members.join(kinds.select("token", "members", "leader"), "token"))
+    kinds = signed.groupBy("x", "y", "members").agg(F.min("token").alias("token"), F.min("leader").alias("leader"))
+    found = stage(members.select("token", "node").join(kinds.select("token", "members", "leader"), "token"))
     release(shared, members)
     return found
 
@@ -422,15 +457,14 @@ def _open_pairs(buckets: DataFrame, roots: DataFrame, points: DataFrame, percent
     mixed = ends.filter(F.col("low") != F.col("high")).select("token")
     blocks = F.ceil(F.col("members") / F.lit(block)).cast("int")
     numbered = (
-        labelled.filter(F.col("members") > 2)  # the leader has met the other one of two
-        .join(mixed, "token")
+        labelled.join(mixed, "token")
         .withColumn("blocks", blocks)
         .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .select("token", "node", "root", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
     )
     # A pair comes from the first of its buckets, as far as the first ones of its nodes tell; that bucket
-    # is open too, or its two members have met.
+    # has both, so it is open too.
     firsts = buckets.groupBy("node").agg(F.slice(F.array_sort(F.collect_set("token")), 1, _FIRSTS).alias("tokens"))
     placed = numbered.join(points, "node").join(firsts, "node")
     placed = placed.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j")
@@ -495,7 +529,7 @@ def _linked(texts: DataFrame, size: int, percent: int, block: int) -> tuple[Data
     points = stage(points)
     buckets = _buckets(texts, size, percent)
 
-    led = buckets.filter(F.col("node") != F.col("leader"))
+    led = buckets.filter((F.col("members") > CROWD) & (F.col("node") != F.col("leader")))
     led = led.select(F.least("leader", "node").alias("a"), F.greatest("leader", "node").alias("b")).distinct()
     first = stage(_bounded(led, points, percent))
     links = _verified(texts, base, first, size, percent)
