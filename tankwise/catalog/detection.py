@@ -15,6 +15,7 @@ from tankwise.sources.readers import table
 from tankwise.sources.telemetry import ORDER, telemetry
 
 # --- validation -------------------------------------------------------------------------------
+# Names of rules and wording of messages, as in the rules.
 
 
 def _result_sql(rule: str, violations: str, message: str, source: str) -> str:

@@ -21,6 +21,7 @@ RESULT = T.StructType(
     ]
 )
 MAX_OUTLIER_SHARE = 0.05  # fixed value
+# The names of rules and the wording of their messages below, which users' tools read.
 SENSORS = ("co2_lpm", "do_ppm", "temp_c", "pressure_bar", "valve_state", "agitator_rpm")
 
 
