@@ -12,22 +12,22 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tankwise.llm.bpe import small
 from tankwise.llm.common import picked
+from tankwise.session import release, stage
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
 FILTERS = 10
 EMBEDDING = 6
-#: Texts per language that the network learns from at most (about), and windows of each.
+#: Different texts that the network learns from at most, of one language and in all, and windows of each.
 TEXTS_PER_LANGUAGE = 2_000
+TEXTS = 10_000
 WINDOWS_PER_TEXT = 3
-#: Languages that one network tells apart at most; more are refused.
-MAX_LANGUAGES = 500
 UNKNOWN = "und"
 EPOCHS = 12
 _BATCH = 128
@@ -171,12 +171,21 @@ def has_letter(text: Column) -> Column:
 
 
 def _sample_windows(seed: int):
+    """Task function: some windows of each different text that a task meets, the same wherever it is met."""
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        seen = set()
+        for batch in small(batches):
+            fresh = []
+            for at, pair in enumerate(zip(batch.column("lang").to_pylist(), batch.column("digest").to_pylist())):
+                if pair not in seen:
+                    seen.add(pair)
+                    fresh.append(at)
             languages, cut = [], []
-            for lang, text, h in zip(*(batch.column(c).to_pylist() for c in ("lang", "text", "h"))):
-                data = text.encode()
-                rng = np.random.default_rng([seed, h & 0x7FFFFFFF])
+            part = batch.take(pa.array(fresh, pa.int64()))
+            for lang, text, digest in zip(*(part.column(c).to_pylist() for c in ("lang", "text", "digest"))):
+                data = text.lower().encode()
+                rng = np.random.default_rng([seed, int.from_bytes(digest[:4], "little")])
                 for _ in range(WINDOWS_PER_TEXT if len(data) > WINDOW else 1):
                     at = int(rng.integers(0, max(1, len(data) - WINDOW + 1)))
                     languages.append(lang)
@@ -186,25 +195,37 @@ def _sample_windows(seed: int):
     return run
 
 
-def learn(labelled: DataFrame, per_language: int = TEXTS_PER_LANGUAGE, seed: int = 5) -> Network | None:
-    """Train on ``lang, text`` rows; about ``per_language`` texts of each language at most are used, chosen
-    by a hash of the text. Rows without a language or without a letter are passed over. None if nothing is
-    left to learn from."""
-    usable = labelled.filter(F.col("lang").isNotNull() & has_letter(F.col("text"))).select(
-        "lang", F.lower("text").alias("text"), F.xxhash64("text").alias("h")
-    )
-    counts = {r["lang"]: r["n"] for r in usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).limit(MAX_LANGUAGES + 1).collect()}
-    if not counts:
-        return None
-    if len(counts) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
-    languages = sorted(counts)
-    share = F.create_map(*(F.lit(x) for lang in languages for x in (lang, per_language / counts[lang])))
-    sample = usable.filter(F.pmod("h", F.lit(1_000_003)) < share[F.col("lang")] * 1_000_003)
-    found = sample.mapInArrow(_sample_windows(seed), "lang string, data binary").sort("lang", "data").toArrow()
+def _examples(usable: DataFrame, per_language: int, most: int) -> DataFrame:
+    """Staged ``lang, digest`` of the different texts to learn from: of each language those of least hash, as
+    many as there is room for, so that copies of one text count once and none is left out by chance. With
+    more languages than ``most``, those with the most texts."""
+    distinct = stage(usable.select("lang", "digest").distinct())
+    counts = distinct.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    chosen = counts.orderBy(F.desc("n"), "lang").limit(most)
+    quota = max(1, min(per_language, most // max(1, chosen.count())))
+    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("digest"), "digest"))
+    # Every task passes on at most ``quota`` texts of a language.
+    first = distinct.withColumn("place", place).filter(F.col("place") <= quota)
+    kept = stage(first.join(F.broadcast(chosen.select("lang")), "lang").select("lang", "digest"))
+    release(distinct)
+    return kept
+
+
+def learn(labelled: DataFrame, per_language: int = TEXTS_PER_LANGUAGE, seed: int = 5, most: int = TEXTS) -> Network | None:
+    """Train on ``lang, text`` rows; at most ``per_language`` different texts of a language are used, and
+    ``most`` in all, which any number of languages share. Rows without a language or without a letter are
+    passed over. None if nothing is left to learn from."""
+    usable = labelled.filter(F.col("lang").isNotNull() & has_letter(F.col("text")))
+    usable = usable.withColumn("digest", F.unhex(F.sha2("text", 256)))
+    chosen = _examples(usable, per_language, most)  # at most ``most`` rows
+    sample = usable.join(F.broadcast(chosen), ["lang", "digest"]).select("lang", "digest", "text")
+    # Windows, not texts, are brought together.
+    found = sample.mapInArrow(_sample_windows(seed), "lang string, data binary").distinct().sort("lang", "data").toArrow()
     windows = np.zeros((found.num_rows, WINDOW), np.uint8)
     for row, data in enumerate(found.column("data").to_pylist()):
         windows[row, : len(data)] = np.frombuffer(data, np.uint8)
+    release(chosen)
+    languages = sorted(set(found.column("lang").to_pylist()))
     number = {lang: k for k, lang in enumerate(languages)}
     labels = np.array([number[lang] for lang in found.column("lang").to_pylist()])
     if not len(labels):
@@ -250,7 +271,8 @@ def in_fold(id: Column, folds: int, fold: int) -> Column:
 def identify(docs: DataFrame, id: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
     """``doc_id, held_out, lang_pred, score`` per row, learnt from the rows that are not held out.
 
-    Rows given twice give two rows, an empty table none; further columns play no part."""
+    Null and empty texts, and those without a letter, are ``und``; whole texts are read, however long. Rows
+    given twice give two rows, an empty table none; further columns play no part."""
     rows = picked(docs, doc_id=id, text=text, lang=lang).withColumn("held_out", in_fold(F.col("doc_id"), 4, 2))
     net = learn(rows.filter(~F.col("held_out")).select("lang", "text"))
     found = annotate(rows.select("doc_id", "text", "held_out"), net)

@@ -138,3 +138,49 @@ def test_few_trusted_texts(trusted):
         model = quality.fit(rng.normal(1, 1, (trusted, 24)), rng.normal(0, 1, (unmarked, 24)))
         assert (model is None) == (trusted < 2)
         assert model is None or (0 < model.prior < 1 and np.isfinite(model.probability(rng.normal(0, 1, (4, 24)))).all())
+
+
+def test_any_number_of_languages(spark):
+    """Each of 501 has a text to learn from; with fewer texts allowed than languages, the common ones do."""
+    frame = spark.range(1_503).selectExpr("concat('l', id % 501) AS lang", "concat('word ', char(97 + id % 26), ' ', id) AS text")
+    frame = frame.unionByName(spark.createDataFrame([("often", f"más {k}") for k in range(40)], "lang string, text string"))
+    net = language.learn(frame, most=600)
+    assert len(net.languages) == 502
+    assert language._examples(frame.withColumn("digest", F.unhex(F.sha2("text", 256))), 2_000, 100).filter("lang = 'often'").count() == 1
+
+
+def test_one_repeated_text_is_learnt(spark):
+    """A language of one text in many rows, beside one of many texts."""
+    rng = random.Random(4)
+    spanish = "el perro corre por la casa y la niña come una manzana roja"
+    english = [(k, " ".join(word("aa", rng) for _ in range(12)), "en") for k in range(600)]
+    frame = spark.createDataFrame(english + [(1_000 + k, spanish, "es") for k in range(6_000)], "doc_id long, text string, lang string")
+    got = language.identify(frame).groupBy("lang_pred").count().collect()
+    assert {r["lang_pred"]: r["count"] for r in got} == {"en": 600, "es": 6_000}
+
+
+def test_shared_ids_and_copies_in_the_quality_sample(spark):
+    """Neither rows of one id nor copies of one text enter or stay out together, and the sample is bounded."""
+    rng = random.Random(6)
+    rows = [(None if k % 10 else k, f"{rng.random()} word {k}") for k in range(4_000)] + [(7, "one text in many rows")] * 3_000
+    frame = spark.createDataFrame(rows, "doc_id long, text string").withColumn("digest", F.unhex(F.sha2("text", 256)))
+    assert len(quality._sampled(frame, frame, 500)) == 500
+    assert len(quality._sampled(frame, frame, 9_000)) == 4_001
+    shared = quality._sampled(frame.filter("doc_id IS NULL"), frame, 1_000)
+    assert len(shared) == 1_000
+
+
+@pytest.mark.parametrize("name, floor", [("op2_quality", 0.95), ("op9_language", 0.98)])
+def test_registered_classifiers_on_the_tables(spark, name, floor):
+    from tankwise.llm.queries import QUERIES
+
+    folder = "/root/testdata/sf0.01"
+    got = QUERIES[name](spark, folder).filter("held_out")
+    documents = spark.read.parquet(f"{folder}/documents.parquet")
+    if name == "op9_language":
+        held = got.join(documents.filter("lang IS NOT NULL AND text rlike '[a-z]'").select("doc_id", "lang"), "doc_id").collect()
+        assert np.mean([r["lang"] == r["lang_pred"] for r in held]) >= floor
+    else:
+        held = got.join(spark.read.parquet(f"{folder}/labels.parquet").select("doc_id", "quality"), "doc_id").collect()
+        good, bad = ([r["score"] for r in held if r["quality"] == q] for q in (1, 0))
+        assert np.mean([(a > b) + 0.5 * (a == b) for a in good for b in bad]) >= floor
