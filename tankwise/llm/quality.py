@@ -21,8 +21,9 @@ from pyspark.sql import functions as F
 from tankwise.llm.bpe import small
 from tankwise.llm.common import picked
 from tankwise.llm.language import in_fold
+from tankwise.session import release, stage
 
-#: Trusted and unmarked texts that the networks learn from at most (about).
+#: Different trusted and unmarked texts that the networks learn from at most.
 POSITIVES = 10_000
 UNLABELLED = 20_000
 HIDDEN = 24
@@ -187,16 +188,24 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray, seed: int = 3) -> Model |
 
 
 def _described(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Task function: features of each different text that a task meets."""
+    seen = set()
     for part in small(batches):
-        found = [features(t or "") for t in part.column("text").to_pylist()]
-        yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.float64()))], ["x"])
-
-
-def _sampled(texts: DataFrame, most: int, total: int) -> np.ndarray:
-    """Features of about ``most`` of the rows, chosen by a hash of the id, in an order of their own."""
-    if total > most:
-        texts = texts.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_003)) < 1_000_003 * most / total)
-    rows = texts.select("text").mapInArrow(_described, "x array<double>").toArrow()
+        digests = part.column("digest").to_pylist()
+        fresh = [at for at, digest in enumerate(digests) if not (digest in seen or seen.add(digest))]
+        part = part.take(pa.array(fresh, pa.int64()))
+        found = [features(t) for t in part.column("text").to_pylist()]
+        yield pa.RecordBatch.from_arrays([part.column("digest"), pa.array(found, pa.list_(pa.float64()))], ["digest", "x"])
+
+
+def _sampled(keys: DataFrame, texts: DataFrame, most: int) -> np.ndarray:
+    """Features of at most ``most`` different texts, those whose digests in ``keys`` have the least hashes,
+    in an order of their own."""
+    chosen = stage(keys.select("digest").distinct().orderBy(F.xxhash64("digest"), "digest").limit(most))
+    drawn = texts.select("digest", "text").join(F.broadcast(chosen), "digest")
+    # Features, not texts, are brought together.
+    rows = drawn.mapInArrow(_described, "digest binary, x array<double>").distinct().toArrow()
+    release(chosen)
     found = np.array(rows.column("x").to_pylist(), float).reshape(-1, FEATURES)
     return found[np.lexsort(found.T)][np.random.default_rng(11).permutation(len(found))]
 
@@ -212,14 +221,17 @@ def learn(
     label: str = "quality",
 ) -> Model | None:
     """Learn from the texts of ``docs`` and the ids that ``labels`` marks as good (1 in every row of the
-    id). Ids marked otherwise serve as unmarked texts, like all others. At most about ``positives`` and
-    ``unlabelled`` texts are used. None if there are too few."""
-    texts = picked(docs, doc_id=id, text=text)
+    id). Ids marked otherwise serve as unmarked texts, like all others. At most ``positives`` and
+    ``unlabelled`` different texts are used, however many rows repeat one or share an id. Null texts count as
+    empty. None if there are too few."""
+    texts = picked(docs, doc_id=id, text=text).withColumn("text", F.coalesce("text", F.lit("")))
+    texts = texts.withColumn("digest", F.unhex(F.sha2("text", 256)))
+    keys = stage(texts.select("doc_id", "digest").distinct())
     marked = picked(labels, doc_id=label_id, label=label).groupBy("doc_id").agg(F.min("label").alias("label"))
     good = marked.filter("label = 1").select("doc_id")
-    trusted = texts.join(good, "doc_id", "left_semi")
-    p = _sampled(trusted, positives, trusted.count())
-    u = _sampled(texts, unlabelled, texts.count())
+    p = _sampled(keys.join(good, "doc_id", "left_semi"), texts, positives)
+    u = _sampled(keys, texts, unlabelled)
+    release(keys)
     return fit(p, u)
 
 
@@ -237,7 +249,8 @@ def score(docs: DataFrame, model: Model | None, threshold: float = 0.3, id: str
             if not len(part):
                 continue
             x = np.array([features(t or "") for t in part.column("text").to_pylist()])
-            p = np.full(len(x), 0.5) if model is None else model.probability(x)
+            # Rounded, since the last bits depend on the rows that a product is worked out with.
+            p = np.full(len(x), 0.5) if model is None else np.round(model.probability(x), 9)
             yield pa.RecordBatch.from_arrays(
                 [part.column("doc_id"), pa.array(p), pa.array((p >= threshold).astype(np.int32))],
                 ["doc_id", "score", "predicted"],
