@@ -561,8 +561,26 @@ def keep_first(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataF
     repeated = stage(rows.filter(F.col("copies") > 1).select(*named))
 
     same = F.col(f"`{id}`").eqNullSafe(F.col(key)) & (F.col(digest) == F.col(form))
-    kept = docs.withColumn(digest, text_digest(text)).join(gone, same, "left_anti")
+    named = docs.withColumn(digest, text_digest(text))
+    plain, kept = _told_apart(named, digest, gone.select(form).union(repeated.select(form)), form)
+    kept = kept.join(gone, same, "left_anti")
     if not repeated.isEmpty():
         once = kept.join(repeated, same, "left_anti")
         kept = once.unionByName(kept.join(repeated, same, "left_semi").dropDuplicates([id, digest]))
-    return kept.drop(digest)
+    return plain.unionByName(kept).drop(digest)
+
+
+def _told_apart(docs: DataFrame, digest: str, named: DataFrame, form: str) -> tuple[DataFrame, DataFrame]:
+    """The rows whose digest is certainly none of the named ones, and all others.
+
+    A filter of fixed size tells them apart where they are read, so that joins against the named digests deal
+    out the texts of the others only. Once more digests are named than it has bits, more rows are others."""
+    hashed = named.select(F.xxhash64(form).alias("h"))
+    allowed = docs.sparkSession.sparkContext.broadcast(membership(hashed, "h"))
+
+    @F.arrow_udf("boolean")
+    def maybe(hashes: pa.Array) -> pa.Array:
+        return pa.array(_passes(allowed.value, hashes.to_numpy()))
+
+    found = maybe(F.xxhash64(digest))
+    return docs.filter(~found), docs.filter(found)

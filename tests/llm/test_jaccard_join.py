@@ -3,6 +3,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tankwise.llm import jaccard_join
 from tankwise.llm.components import components
@@ -94,6 +95,34 @@ def test_one_of_each_component_stays_under_null_and_shared_ids(spark):
     assert sorted(kept, key=repr) == sorted(want, key=repr)
 
 
+def test_texts_that_stay_are_not_dealt_out(spark):
+    """Only rows whose digest may be one of those that go are joined; the others come out where they are read."""
+    pairs = [(i, t) for i, t in corpus() if i is not None and i != 14]
+    usual = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        kept = keep_first(docs(spark, pairs))
+        top = kept._jdf.queryExecution().executedPlan().initialPlan()
+        while top.children().size() == 1:
+            assert top.nodeName() != "Exchange"
+            top = top.children().head()
+        sides = [top.children().apply(k).toString() for k in range(top.children().size())]
+        assert top.nodeName() == "Union" and sorted("Exchange" in side for side in sides) == [False, True]
+        assert {r["doc_id"] for r in kept.collect()} == {i for i, _, root in expected(pairs) if i == root}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", usual)
+
+
+def test_rows_told_apart_by_digest(spark):
+    frame = spark.createDataFrame([(k, bytes([k])) for k in range(200)], "doc_id long, form binary")
+    named = frame.filter("doc_id % 20 = 3").select(F.col("form").alias("other"))
+    plain, others = jaccard_join._told_apart(frame, "form", named, "other")
+    plain, others = ({r["doc_id"] for r in part.collect()} for part in (plain, others))
+    assert plain | others == set(range(200)) and not plain & others
+    assert {k for k in range(200) if k % 20 == 3} <= others and len(others) < 15
+    assert jaccard_join._told_apart(frame, "form", named.limit(0), "other")[1].count() == 0
+
+
 def test_empty_table(spark):
     assert near_duplicates(docs(spark, [])).collect() == []
     assert keep_first(docs(spark, [(None, None), (3, "")])).count() == 2
