@@ -7,7 +7,9 @@ into one task, which fails once a tank (or the un-keyed table) holds a large sha
 :func:`arrange` measures the largest group. Below ``rows_per_slice`` it keeps the plain window. Above
 it, rows are dealt to *slices* by one range partitioning over (keys, order): a slice holds about
 ``rows_per_slice`` rows, a large key has many slices, small keys share one, and rows of one instant are
-split like any others. Any orderable type will do, for keys and order alike. The slices are written to
+split like any others. Where slices are much smaller than what a task can sort, a range has many, so that
+tasks and files grow with the table and not with the number of slices. Any orderable type will do, for keys
+and order alike. The slices are written to
 the shared folder once, sorted, with a number per row that grows along (keys, order), so every branch of
 a plan sees the same slices. Two building blocks then give exactly the results of the plain window:
 
@@ -29,6 +31,7 @@ from dataclasses import dataclass, replace
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from tankwise.plans.params import settle
 from tankwise.session import stage
 
 ROWS_PER_SLICE_CONF = "spark.tankwise.rowsPerSlice"
@@ -260,7 +263,7 @@ def arrange(
     largest, total = group_size(df, keys)
     if largest <= limit:
         return Ordered(df, keys, order, split=False)
-    rows = _cut(df, order, keys, max(2, -(-total // limit)))
+    rows = _cut(df, order, keys, total, limit)
     sizes = rows.groupBy(*keys, SLICE).agg(F.min(_ROW).alias("_first"), F.max(_ROW).alias("_last"))
     slices = F.count(F.lit(1)).over(Window.partitionBy(*keys))
     cuts = stage(sizes.withColumn("_slices", slices).filter("_slices > 1").drop("_slices"))
@@ -277,12 +280,27 @@ def group_size(df: DataFrame, keys: tuple[str, ...]) -> tuple[int, int]:
     return found["largest"] or 0, found["total"] or 0
 
 
-def _cut(df: DataFrame, order: tuple[str, ...], keys: tuple[str, ...], pieces: int) -> DataFrame:
-    """``df`` in ``pieces`` ranges of (keys, order), written once, with slice and row numbers."""
+def _cut(df: DataFrame, order: tuple[str, ...], keys: tuple[str, ...], total: int, limit: int) -> DataFrame:
+    """``df`` in ranges of (keys, order), written once, with slice and row numbers.
+
+    There are as many ranges as slices, but no more than two a core where these hold about ``ROWS_PER_SLICE``
+    rows each or fewer. Rows are then numbered across the ranges, and every ``limit`` of them are a slice."""
     by = list(dict.fromkeys([*keys, *order]))
-    dealt = df.repartitionByRange(pieces, *by).sortWithinPartitions(*by)
+    slices = max(2, -(-total // limit))
+    ranges = min(slices, max(2 * df.sparkSession.sparkContext.defaultParallelism, -(-total // ROWS_PER_SLICE)))
+    dealt = df.repartitionByRange(ranges, *by).sortWithinPartitions(*by)
     numbered = dealt.withColumn(_ROW, F.monotonically_increasing_id())
-    return stage(numbered.withColumn(SLICE, F.shiftright(_ROW, _ROW_BITS)))
+    rows = stage(numbered.withColumn(SLICE, F.shiftright(_ROW, _ROW_BITS)))
+    if ranges == slices:
+        return rows
+    # One row per range.
+    sizes = rows.groupBy(SLICE).agg(F.count(F.lit(1)).alias("_rows"))
+    before = F.sum("_rows").over(Window.orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1))
+    starts, few = settle(sizes.select(F.col(SLICE).alias("_range"), F.coalesce(before, F.lit(0)).alias("_start")))
+    joined = rows.join(F.broadcast(starts) if few else starts, F.col(SLICE) == F.col("_range"))
+    within = F.col(_ROW).bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
+    across = joined.withColumn(_ROW, F.col("_start") + within)
+    return across.withColumn(SLICE, F.floor(F.col(_ROW) / F.lit(limit))).drop("_range", "_start")
 
 
 def _in_stages(df: DataFrame, columns: Mapping[str, Column] | list[Mapping[str, Column]]) -> DataFrame:

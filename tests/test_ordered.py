@@ -128,3 +128,16 @@ def test_one_hot_tank_among_many_small_ones(spark):
 def test_slices_shorter_than_the_frame(spark):
     rows = spark.range(300).selectExpr("id", "id AS ts", "id % 5 AS x", "if(id % 9 = 0, id, NULL) AS gap")
     check_slices(rows, ("ts",), (), 3, reach=(25, 10))
+
+
+def test_many_slices_share_ranges(spark):
+    """Slices of a few rows do not take a task and a file each, and hold as many rows as asked for."""
+    rows = spark.range(4_000).selectExpr(
+        "id", "timestamp_seconds(id * 37 % 4000) AS ts", "concat('tank', id % 9) AS tank",
+        "id * 7 % 13 AS x", "if(id % 31 = 0, id, NULL) AS gap",
+    )
+    cut = arrange(rows, ("ts", "id"), ("tank",), 20).rows
+    assert len(cut.inputFiles()) <= 2 * spark.sparkContext.defaultParallelism
+    assert {r["count"] for r in cut.groupBy(SLICE).count().collect()} == {20}
+    check_slices(rows, ("ts", "id"), ("tank",), 20)
+    check_slices(rows, ("ts", "id"), (), 20)
