@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from tankwise.operators.missing import fill_gaps
 from tankwise.plans.ordered import SLICE, arrange
 from tests.frames import by_id, telemetry, to_spark
 
@@ -141,3 +142,14 @@ def test_many_slices_share_ranges(spark):
     assert {r["count"] for r in cut.groupBy(SLICE).count().collect()} == {20}
     check_slices(rows, ("ts", "id"), ("tank",), 20)
     check_slices(rows, ("ts", "id"), (), 20)
+
+
+def test_gaps_across_many_slices_of_a_range(spark):
+    """Gaps longer than a slice, with fewer tasks than slices."""
+    rows = spark.range(3_000).selectExpr(
+        "id", "id AS ts", "concat('tank', id % 2) AS tank", "if(id % 400 < 150, NULL, CAST(id * id AS DOUBLE)) AS x",
+    )
+    cut = arrange(rows, ("ts", "id"), ("tank",), 20)
+    assert cut.rows.select(F.spark_partition_id()).distinct().count() <= 2 * spark.sparkContext.defaultParallelism
+    filled = [by_id(fill_gaps(arrange(rows, ("ts", "id"), ("tank",), n), ("ts", "id"), ("tank",), ["x"], "both"), "x") for n in (20, 10**9)]
+    assert filled[0].equals(filled[1]) and filled[0]["x"].notna().all()
