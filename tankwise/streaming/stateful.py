@@ -1,12 +1,16 @@
 """Stateful stream operators that give what the batch gives, for rows in any order of arrival.
 
-Rows, or sums per bucket, wait in state until the watermark has passed them; a timer then takes them in time
-order. Spark drops rows older than the watermark. What a key keeps is bounded by the lateness allowed, and is
-given up when the key has been silent for long enough."""
+Rows, or sums per bucket, wait in state until the watermark has passed them; a timer then takes all that it has
+passed, in time order. Spark drops rows older than the watermark. What a key keeps is bounded by the lateness
+allowed, and is given up when the key has been silent for long enough.
+
+Every call of the state is a message to the executor's JVM. A key therefore reads and writes its state once per
+batch and once per watermark, whatever its number of rows, and has one timer per batch, at the first time that
+any of the batch's rows waits for."""
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import asdict, fields
 
 from pyspark.sql import DataFrame, Row, SparkSession
@@ -45,8 +49,10 @@ _FOUND = (
     "anomaly_type",
     "severity",
 )
-#: Rows are taken out of their wait for this many milliseconds of event time at a time.
+#: Rows wait until the watermark has passed the end of their span of this many milliseconds.
 _TICK = 60_000
+#: Rows of one entry of the waiting list.
+_CHUNK = 1_000
 _DAY = 86_400_000
 
 
@@ -84,52 +90,62 @@ class _Detection(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        row = f"micros long, tiebreak {self.kind}, co2 double, oxygen double, pressure double"
-        self.waiting = handle.getListState("waiting", row)
-        self.last = handle.getValueState("last", f"{row}, silent_at long")
-        self.rates = handle.getListState("rates", "rate double")
+        readings = ("co2", "oxygen", "pressure")
+        lists = ", ".join(f"{name} array<double>" for name in readings)
+        self.waiting = handle.getListState("waiting", f"micros array<long>, tiebreak array<{self.kind}>, {lists}")
+        row = f"micros long, tiebreak {self.kind}, " + ", ".join(f"{name} double" for name in readings)
+        self.last = handle.getValueState("last", f"{row}, silent_at long, rates array<double>")
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        ticks = set(self.handle.listTimers())
+        first, some = None, []
         for row in rows:
             micros = row["_micros"]
-            self.waiting.appendValue(
+            first = micros if first is None else min(first, micros)
+            some.append(
                 (micros, row[self.tiebreak], _number(row["_co2"]), _number(row["_oxygen"]), _number(row["_pressure"]))
             )
-            due = (micros // 1_000 // _TICK + 1) * _TICK
-            if due not in ticks:
-                ticks.add(due)
-                self.handle.registerTimer(due)
+            if len(some) == _CHUNK:
+                self.waiting.appendValue(_chunk(some))
+                some = []
+        if some:
+            self.waiting.appendValue(_chunk(some))
+        if first is not None:
+            self.handle.registerTimer(_due(first))
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        now = expiredTimerInfo.getExpiryTimeInMs()
+        passed = timerValues.getCurrentWatermarkInMs()
         due, later = [], []
-        for row in self.waiting.get():
-            (due if row[0] < now * 1_000 else later).append(tuple(row))
+        for chunk in self.waiting.get():
+            for row in zip(*chunk):
+                (due if _due(row[0]) <= passed else later).append(row)
         if not due:
-            self._silent(now)
+            self._silent(expiredTimerInfo.getExpiryTimeInMs())
             return
         due.sort(key=lambda row: row[:2])
-        before = tuple(self.last.get()) if self.last.exists() else None
-        rates = [row[0] for row in self.rates.get()]
+        *before, silent_at, rates = self.last.get() or (None, None)
+        if silent_at is not None and silent_at < _due(due[0][0]):
+            before, rates = None, None  # a key that was silent begins anew
+        rates = list(rates or ())
         for row in due:
             yield from self._judged(key, row, before, rates)
             before = row
-        self.waiting.put(later) if later else self.waiting.clear()
-        self.rates.put([(rate,) for rate in rates])
-        silent_at = now + self.forget
-        if before is not None:
-            self.last.update((*before[:5], silent_at))
+        self.waiting.clear()
+        for start in range(0, len(later), _CHUNK):
+            self.waiting.appendValue(_chunk(later[start : start + _CHUNK]))
+        if later:
+            self.handle.registerTimer(_due(min(row[0] for row in later)))
+        silent_at = _due(before[0]) + self.forget
+        self.last.update((*before, silent_at, rates))
         self.handle.registerTimer(silent_at)
 
     def _silent(self, now: int) -> None:
         """Give up what is known of a key if its last row is as old as that; rows that wait begin anew."""
-        if self.last.exists() and self.last.get()[5] <= now:
+        known = self.last.get()
+        if known is not None and known[5] <= now:
             self.last.clear()
-            self.rates.clear()
 
-    def _judged(self, key, row: tuple, before: tuple | None, rates: list) -> Iterator[Row]:
+    def _judged(self, key, row: tuple, before: Sequence | None, rates: list) -> Iterator[Row]:
         micros, tiebreak, co2, oxygen, pressure = row
         co2_rate = _change(co2, before[2]) if before else None
         do_change = _change(oxygen, before[3]) if before else None
@@ -156,6 +172,16 @@ class _Detection(StatefulProcessor):
         pass
 
 
+def _due(micros: int) -> int:
+    """The watermark in milliseconds that a row of that time waits for."""
+    return (micros // 1_000 // _TICK + 1) * _TICK
+
+
+def _chunk(rows: list[tuple]) -> tuple[list, ...]:
+    """Rows as one entry of lists, one per field."""
+    return tuple(map(list, zip(*rows)))
+
+
 def _above(value: float | None, limit: float | None) -> bool:
     return value is not None and limit is not None and value > limit
 
@@ -217,67 +243,88 @@ def alerts(
 
 class _Grid(StatefulProcessor):
     """One key's bucket sums. A bucket is closed when the watermark has passed its end; buckets between two
-    closed ones are empty. With ``patience``, gaps are filled on the line to the next reading, and a bucket
-    waits for that, for at most so many buckets."""
+    closed ones are empty, and come out as the number of the first of them with the row of the bucket behind
+    them. With ``patience``, gaps are filled on the line to the next reading, and a bucket waits for that, for
+    at most so many buckets."""
 
     def __init__(self, step: int, by: list[str], columns: list[str], patience: int | None):
         self.step, self.columns, self.patience = step, len(columns), patience
-        self.row = Row(*by, "_bucket", *columns)
+        self.row = Row(*by, "_from", "_bucket", *columns)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.sums = handle.getMapState("sums", "bucket long", "totals array<double>, counts array<long>")
+        # Sums and counts of one bucket's columns lie side by side.
+        self.sums = handle.getValueState("sums", "buckets array<long>, totals array<double>, counts array<long>")
         self.closed = handle.getValueState("closed", "bucket long, emitted long")
-        # Per column: the last known mean and its bucket; and closed buckets whose gaps are still open.
-        self.known = handle.getMapState("known", "place int", "bucket long, mean double")
-        self.open = handle.getListState("open", "bucket long, means array<double>")
+        if self.patience is not None:
+            # Per column: the last known mean and its bucket; and closed buckets whose gaps are still open.
+            self.known = handle.getValueState("known", "buckets array<long>, means array<double>")
+            self.open = handle.getListState("open", "bucket long, means array<double>")
+
+    def _held(self) -> dict[int, tuple[list[float], list[int]]]:
+        """Sums and counts per column of every open bucket."""
+        buckets, totals, counts = self.sums.get() or ((), (), ())
+        width = self.columns
+        return {b: (list(totals[i * width : (i + 1) * width]), list(counts[i * width : (i + 1) * width])) for i, b in enumerate(buckets)}
+
+    def _hold(self, held: dict[int, tuple[list[float], list[int]]]) -> None:
+        if held:
+            self.sums.update((list(held), [t for ts, _ in held.values() for t in ts], [n for _, ns in held.values() for n in ns]))
+        else:
+            self.sums.clear()
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        last = self.closed.get()[0] if self.closed.exists() else None
-        held: dict[int, tuple[list[float], list[int]]] = {}
+        closed = self.closed.get()
+        last = None if closed is None else closed[0]
+        held = self._held()
+        opened, names = None, [f"_v{i}" for i in range(self.columns)]
         for row in rows:
             bucket = row["_bucket"]
             if last is not None and bucket <= last:
                 continue  # as late as rows that Spark drops
             if bucket not in held:
-                if self.sums.containsKey((bucket,)):
-                    totals, counts = self.sums.getValue((bucket,))
-                    held[bucket] = list(totals), list(counts)
-                else:
-                    held[bucket] = [0.0] * self.columns, [0] * self.columns
-                    self.handle.registerTimer(bucket + self.step)
+                held[bucket] = [0.0] * self.columns, [0] * self.columns
+                opened = bucket if opened is None else min(opened, bucket)
             totals, counts = held[bucket]
-            for i in range(self.columns):
-                value = _number(row[f"_v{i}"])
+            for i, name in enumerate(names):
+                value = _number(row[name])
                 if value is not None:
                     totals[i] += value
                     counts[i] += 1
-        for bucket, sums in held.items():
-            self.sums.updateValue((bucket,), sums)
+        self._hold(held)
+        if opened is not None:
+            self.handle.registerTimer(opened + self.step)
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        bucket = expiredTimerInfo.getExpiryTimeInMs() - self.step
-        if not self.sums.containsKey((bucket,)):
+        passed = timerValues.getCurrentWatermarkInMs()
+        held = self._held()
+        done = sorted(bucket for bucket in held if bucket + self.step <= passed)
+        if not done:
             return
-        totals, counts = self.sums.getValue((bucket,))
-        self.sums.removeKey((bucket,))
-        means = [t / n if n else None for t, n in zip(totals, counts)]
-        last, emitted = self.closed.get() if self.closed.exists() else (None, bucket - self.step)
+        last, emitted = self.closed.get() or (None, done[0] - self.step)
+        means = [[t / n if n else None for t, n in zip(*held.pop(bucket))] for bucket in done]
         if self.patience is None:
-            start = bucket if last is None else last + self.step
-            for empty in range(start, bucket, self.step):
-                yield self.row(*key, empty, *[None] * self.columns)
-            yield self.row(*key, bucket, *means)
-            self.closed.update((bucket, bucket))
-            return
-        emitted = yield from self._filled(key, bucket, means, emitted)
-        self.closed.update((bucket, emitted))
-
-    def _filled(self, key, bucket: int, means: list, emitted: int):
-        """Emit every bucket that is decided, in order; returns the last one emitted."""
-        known = {k[0]: tuple(v) for k, v in self.known.iterator()}
-        rows = [(r[0], list(r[1])) for r in self.open.get()] + [(bucket, means)]
+            for bucket, values in zip(done, means):
+                yield self.row(*key, bucket if last is None else last + self.step, bucket, *values)
+                last = emitted = bucket
+        else:
+            known = {i: p for i, p in enumerate(zip(*(self.known.get() or ((), ())))) if p[0] is not None}
+            rows = [(r[0], list(r[1])) for r in self.open.get()]
+            for bucket, values in zip(done, means):
+                rows.append((bucket, values))
+                emitted = yield from self._filled(key, bucket, rows, known, emitted)
+            places = [known.get(i, (None, None)) for i in range(self.columns)]
+            self.known.update(([b for b, _ in places], [m for _, m in places]))
+            self.open.put(rows) if rows else self.open.clear()
+        self._hold(held)
+        if held:
+            self.handle.registerTimer(min(held) + self.step)
+        self.closed.update((done[-1], emitted))
+
+    def _filled(self, key, bucket: int, rows: list, known: dict, emitted: int):
+        """Emit every bucket that is decided, in order; returns the last one emitted. ``rows`` keeps the others,
+        ``known`` the last reading of every column before them."""
         # A column is decided up to its last reading, or wholly if it never had one. Older gaps are given up.
         given_up = bucket - self.patience * self.step
         readings = {i: ([known[i]] if i in known else []) + [(b, m[i]) for b, m in rows if m[i] is not None] for i in range(self.columns)}
@@ -291,16 +338,13 @@ class _Grid(StatefulProcessor):
                 while at[i] + 1 < len(points) and points[at[i] + 1][0] <= place:
                     at[i] += 1
                 values.append(_on_line(points, at[i], place))
-            yield self.row(*key, place, *values)
+            yield self.row(*key, place, place, *values)
         for i, points in readings.items():
-            if not points:
-                continue
             # The last reading behind ``until`` starts the next line; later ones are still in the open rows.
             past = [point for point in points if point[0] <= until]
             if past:
-                self.known.updateValue((i,), past[-1])
-        rest = [row for row in rows if row[0] > until]
-        self.open.put(rest) if rest else self.open.clear()
+                known[i] = past[-1]
+        rows[:] = [row for row in rows if row[0] > until]
         return max(emitted, until)
 
     def close(self) -> None:
@@ -347,7 +391,12 @@ def resampled_grid(
     rows = stream.withWatermark(time, lateness).filter(F.col(time).isNotNull())
     values = (F.col(c).cast("double").alias(f"_v{i}") for i, c in enumerate(columns))
     rows = rows.select(*by, time, bucket.alias("_bucket"), *values)
-    output = ", ".join([*(f"`{name}` {kinds[name]}" for name in by), "_bucket long", *(f"`{c}` double" for c in columns)])
+    output = ", ".join(
+        [*(f"`{name}` {kinds[name]}" for name in by), "_from long, _bucket long", *(f"`{c}` double" for c in columns)]
+    )
     processor = _Grid(step, by, columns, patience if method == "interpolate" else None)
     found = rows.groupBy(*by).transformWithState(processor, output, "Append", "EventTime")
-    return found.select(*by, F.timestamp_millis("_bucket").alias(time), *columns)
+    places = F.explode(F.sequence("_from", "_bucket", F.lit(step).cast("long"))).alias("_place")
+    own = F.col("_place") == F.col("_bucket")
+    values = (F.when(own, F.col(c)).alias(c) for c in columns)
+    return found.select("*", places).select(*by, F.timestamp_millis("_place").alias(time), *values)

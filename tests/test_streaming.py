@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from tankwise.operators.anomaly import AnomalyDetector, pressure_anomalies
 from tankwise.operators.resample import resample
 from tankwise.streaming.alerts import pressure_alerts, rate_alerts, resampled
-from tankwise.streaming.stateful import alerts, read_thresholds, resampled_grid, write_thresholds
+from tankwise.operators.anomaly import Thresholds
+from tankwise.streaming.stateful import _Detection, _Grid, alerts, read_thresholds, resampled_grid, write_thresholds
 from tests.frames import telemetry, to_spark
 
 
@@ -205,3 +206,111 @@ def test_settings_are_checked(spark, rows, tmp_path):
             alerts(rows, "tank", "timestamp", "id")
     finally:
         spark.conf.set(name, usual)
+
+
+class Counting:
+    """State of one key that counts the calls to it."""
+
+    def __init__(self):
+        self.calls, self.timers, self.held = 0, set(), {}
+
+    def __getattr__(self, name):
+        if not name.startswith("get"):
+            raise AttributeError(name)
+        return lambda state, *_: CountingState(self, state, "List" in name, "Map" in name)
+
+    def _counted(self, timer, do):
+        self.calls += 1
+        do(timer)
+
+    def registerTimer(self, timer):
+        self._counted(timer, self.timers.add)
+
+    def deleteTimer(self, timer):
+        self._counted(timer, self.timers.discard)
+
+    def listTimers(self):
+        self.calls += 1
+        return iter(sorted(self.timers))
+
+
+class CountingState:
+    def __init__(self, handle, name, listed, mapped):
+        self.handle, self.name, self.listed, self.mapped = handle, name, listed, mapped
+
+    def __getattr__(self, name):
+        held, at = self.handle.held, self.name
+        empty = [] if self.listed else {} if self.mapped else None
+
+        def call(*args):
+            self.handle.calls += 1
+            now = held.get(at, empty)
+            if name == "get":
+                return iter(list(now)) if self.listed else now
+            if name == "exists":
+                return at in held
+            if name == "clear":
+                held.pop(at, None)
+            elif name == "appendValue":
+                held[at] = [*now, args[0]]
+            elif name == "appendList":
+                held[at] = [*now, *args[0]]
+            elif name == "containsKey":
+                return args[0] in now
+            elif name == "getValue":
+                return now[args[0]]
+            elif name == "updateValue":
+                held[at] = now | {args[0]: args[1]}
+            elif name == "removeKey":
+                held[at] = {k: v for k, v in now.items() if k != args[0]}
+            else:
+                held[at] = args[0]  # update, put
+
+        return call
+
+
+class Passed:
+    def __init__(self, watermark, timer=0):
+        self.watermark, self.timer = watermark, timer
+
+    def getCurrentWatermarkInMs(self):
+        return self.watermark
+
+    def getExpiryTimeInMs(self):
+        return self.timer
+
+
+def driven(processor, batches):
+    """Rows that come out of one key, and calls of its state, for batches of rows with the watermark behind."""
+    handle, out = Counting(), []
+    processor.init(handle)
+    for rows, watermark in batches:
+        out += processor.handleInputRows(("a",), iter(rows), Passed(0))
+        for timer in sorted(t for t in handle.timers if t <= watermark):
+            out += processor.handleExpiredTimer(("a",), Passed(watermark), Passed(watermark, timer))
+            handle.timers.discard(timer)
+    return out, handle.calls
+
+
+def test_calls_of_the_state_do_not_grow_with_the_rows():
+    """A key with a row a minute reads and writes its state once per batch, not once per row and minute."""
+    made = [{"_micros": k * 60_000_000, "id": k, "_co2": 9_000.0 * (k % 2), "_oxygen": 1.0, "_pressure": 1.0} for k in range(2_400)]
+    detection = _Detection("tank", "id", Thresholds(), ("over_vigorous_co2",), 7 * 86_400_000, "bigint")
+    found, calls = driven(detection, [(made[:1_500], 1_000 * 60_000), (made[1_500:][::-1], 2_400 * 60_000)])
+    assert sorted(r["id"] for r in found) == list(range(1, 2_400, 2)) and calls < 50
+    hours = [{"_bucket": k // 6 * 600_000 + 86_400_000 * (k // 1_200), "_v0": float(k % 6)} for k in range(2_400)]
+    grid, calls = driven(_Grid(600_000, ["tank"], ["x"], None), [(hours[:1_500], 10**7), (hours[1_500:], 10**10)])
+    assert [r["x"] for r in grid] == [2.5] * 400 and calls < 50
+    grid, calls = driven(_Grid(600_000, ["tank"], ["x"], 288), [(hours[:1_500], 10**7), (hours[1_500:], 10**10)])
+    # The two runs of 200 buckets are 144 buckets apart and filled on the line between.
+    assert [r["x"] for r in grid] == [2.5] * (400 + 144) and calls < 50
+
+
+def test_silence_counts_from_the_last_batch():
+    """Rows of one watermark are compared with each other; a row behind a silent week begins anew."""
+    day = 86_400_000_000
+    row = lambda k, at: {"_micros": at, "id": k, "_co2": 9_000.0 * k, "_oxygen": None, "_pressure": None}
+    for days, ids in ((1, [1]), (30, [1, 2])):
+        detection = _Detection("tank", "id", Thresholds(), ("over_vigorous_co2",), days * 86_400_000, "bigint")
+        found, _ = driven(detection, [([row(0, 0), row(1, 10 * day)], 11 * 86_400_000), ([row(2, 15 * day)], 20 * 86_400_000)])
+        assert [r["id"] for r in found] == ids
