@@ -3,7 +3,8 @@
 Equal vectors are one entry with its least ids, so that copies of one vector are not compared with each
 other. Every entry belongs to the nearest of a bounded number of pivots. Its own cell gives an upper bound of
 the distance wanted; by the triangle inequality only cells that can hold something as near are searched
-afterwards. Cells are searched in blocks of bounded size, each of which returns ``k`` rows per query."""
+afterwards. Cells are searched in blocks of bounded size, each of which returns ``k`` rows per query: a product
+of matrices leaves out the pairs that are certainly farther, and the others' distances are computed exactly."""
 
 from __future__ import annotations
 
@@ -23,6 +24,7 @@ PIVOTS = 128
 BLOCK = 2_000
 _SLACK = 1e-9
 _CHUNK = 1 << 22  # numbers in a table of differences
+_SMALLEST = 1e-300  # far more than what is lost where squares are too small for a double
 
 
 def _table(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
@@ -62,6 +64,33 @@ def _placing(pivots: np.ndarray):
     return run
 
 
+def _candidates(x: np.ndarray, y: np.ndarray, own: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(first row, rows, entries): for some rows of ``x`` at a time all entries of ``y``, but their own, that can
+    be among the ``k`` nearest.
+
+    Squares of distances come from one product of matrices. How far rounding can move them is added as a
+    margin, so that no pair is left out whose exact distance counts; without a finite margin all pairs are."""
+    with np.errstate(all="ignore"):
+        long_x, long_y = (x * x).sum(axis=1), (y * y).sum(axis=1)
+        top = long_y.max()
+        step = max(1, _CHUNK // len(y))
+        for start in range(0, len(x), step):
+            mine = own[start : start + step]
+            here = long_x[start : start + step, None]
+            rough = here + long_y - 2 * (x[start : start + step] @ y.T)
+            # Each of the sums errs by less than its number of terms times 2 ** -53 of the sum of lengths.
+            margin = (here[:, 0] + top) * (8 * (x.shape[1] + 8) * 2.0**-53) + _SMALLEST
+            use = np.ones(rough.shape, bool)
+            if len(y) > k + 1:
+                rough[np.flatnonzero(mine >= 0), mine[mine >= 0]] = np.inf
+                kth = np.partition(rough, k - 1, axis=1)[:, k - 1]
+                limit = kth + 2 * margin
+                use = rough <= np.where(np.isfinite(limit), limit, np.inf)[:, None]
+                use[~np.isfinite(rough).any(axis=1) | ~np.isfinite(margin)] = True
+            use[np.flatnonzero(mine >= 0), mine[mine >= 0]] = False
+            yield start, *np.nonzero(use)
+
+
 def _nearest(k: int):
     """Group function over the queries and entries of two blocks: the ``k`` nearest other entries of each
     query, ties by key."""
@@ -74,13 +103,19 @@ def _nearest(k: int):
         rows, places, found = [], [], []
         if len(asked) and len(held):
             own = pa.compute.index_in(asked.column("key").combine_chunks(), keys).fill_null(-1).to_numpy()
-            for start, far in _distances(_table(asked.column("vector")), _table(held.column("vector"))):
-                mine = own[start : start + len(far)]
-                far[np.flatnonzero(mine >= 0), mine[mine >= 0]] = np.inf
-                best = np.argsort(far, axis=1, kind="stable")[:, :k]
-                at = np.repeat(np.arange(len(far)), best.shape[1])
-                value, best = far[at, best.reshape(-1)], best.reshape(-1)
+            x, y = _table(asked.column("vector")), _table(held.column("vector"))
+            for start, at, best in _candidates(x, y, own, k):
+                value = np.empty(len(at))
+                for first in range(0, len(at), step := max(1, _CHUNK // max(y.shape[1], 1))):
+                    some = slice(first, first + step)
+                    part = x[start + at[some]] - y[best[some]]
+                    value[some] = np.sqrt((part * part).sum(axis=1))
                 use = np.isfinite(value)
+                at, best, value = at[use], best[use], value[use]
+                # The nearest of each query, ties by key, which is the order of the entries.
+                order = np.lexsort((best, value, at))
+                at, best, value = at[order], best[order], value[order]
+                use = np.arange(len(at)) - np.searchsorted(at, at, "left") < k
                 rows.append(at[use] + start)
                 places.append(best[use])
                 found.append(value[use])

@@ -3,7 +3,7 @@
 import numpy as np
 import pytest
 
-from tankwise.operators.neighbours import nearest_rows
+from tankwise.operators.neighbours import _candidates, nearest_rows
 
 
 def expected(rows, k):
@@ -70,3 +70,20 @@ def test_cells_are_pruned(spark):
     finally:
         neighbours._searched = original
     assert asked[0] == 400 and asked[1] < 400 * 60 * 0.2
+
+
+def test_few_pairs_are_compared_exactly():
+    """The product of matrices leaves about k pairs a query, among them all nearest, also where it rounds."""
+    rng = np.random.default_rng(4)
+    base = rng.normal(size=(400, 16))
+    kinds = {"plain": base, "ties": np.round(base * 0.5), "far off": base + 1e6, "tiny": base * 1e-160, "overflow": base * 1e160}
+    for kind, y in kinds.items():
+        x, own = y[100:], np.arange(100, 400)
+        pairs = [(s + a, b) for s, at, best in _candidates(x, y, own, 5) for a, b in zip(at, best)]
+        with np.errstate(all="ignore"):
+            far = np.sqrt(((x[:, None] - y[None]) ** 2).sum(axis=2))
+        far[np.arange(300), own] = np.inf
+        nearest = {(i, j) for i in range(300) for j in np.argsort(far[i], kind="stable")[:5]}
+        assert nearest <= set(pairs) and len(pairs) == len(set(pairs)), kind
+        assert not any(own[i] == j for i, j in pairs)
+        assert kind != "plain" or len(pairs) == 5 * 300
