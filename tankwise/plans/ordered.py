@@ -83,7 +83,8 @@ class Ordered:
             window = Window.partitionBy(*self.keys).orderBy(*self.order)
             return self.with_rows(_in_stages(self.rows, columns(window)))
 
-        inner = Window.partitionBy(*self._partition).orderBy(*self.order)
+        # Equal rows may lie in two slices: their numbers keep a copy on its side of the slice's own rows.
+        inner = Window.partitionBy(*self._partition).orderBy(*self.order, _ROW)
         own = self.rows.withColumn(_COPY, F.lit(False))
         both = own.unionByName(self._copies(back, ahead))
         return self.with_rows(_in_stages(both, columns(inner)).filter(~F.col(_COPY)).drop(_COPY))
@@ -138,7 +139,7 @@ class Ordered:
         by = list(self._partition)
         if self.split:
             rows = self._seeded(rows, list(sums), totals, earlier, later)
-            in_order = Window.partitionBy(*by).orderBy(_SIDE, *self.order)
+            in_order = Window.partitionBy(*by).orderBy(_SIDE, *self.order, _ROW)
             seeded = F.first(POSITION).over(in_order.rowsBetween(Window.unboundedPreceding, 0))
             # A slice without a seed has all rows of its key.
             position = F.coalesce(seeded - 1, F.lit(0)) + F.row_number().over(in_order) - 1
@@ -186,9 +187,9 @@ class Ordered:
         neighbours' state."""
         by = self._partition
         sides = [("max_by", f"_last_{c}", c) for c in earlier] + [("min_by", f"_first_{c}", c) for c in later]
-        within = Window.partitionBy(*by).orderBy(*self.order)
+        within = Window.partitionBy(*by).orderBy(*self.order, _ROW)
         slim = rows.select(
-            *dict.fromkeys([*by, *self.order, *earlier, *later, *(_addend(name) for name in sums)])
+            *dict.fromkeys([*by, *self.order, _ROW, *earlier, *later, *(_addend(name) for name in sums)])
         ).withColumn(_RANK, F.row_number().over(within).cast("long") - 1)
         summary = slim.groupBy(*by).agg(
             F.count(F.lit(1)).alias("_rows"),

@@ -153,3 +153,14 @@ def test_gaps_across_many_slices_of_a_range(spark):
     assert cut.rows.select(F.spark_partition_id()).distinct().count() <= 2 * spark.sparkContext.defaultParallelism
     filled = [by_id(fill_gaps(arrange(rows, ("ts", "id"), ("tank",), n), ("ts", "id"), ("tank",), ["x"], "both"), "x") for n in (20, 10**9)]
     assert filled[0].equals(filled[1]) and filled[0]["x"].notna().all()
+
+
+def test_equal_rows_in_two_slices(spark):
+    """Rows that come twice, across the borders of slices: each twin has the lag that the plain window gives."""
+    rows = spark.range(2_000).selectExpr("id div 2 AS id", "id div 2 AS ts", "concat('tank', id div 2 % 3) AS tank", "CAST(id div 2 AS DOUBLE) AS x")
+    for keys, limit in (((), 15), (("tank",), 15), (("tank",), 1)):
+        def lagged(limit):
+            found = arrange(rows, ("ts", "id"), keys, limit).framed(lambda w: {f"lag{n}": F.lag("x", n).over(w) for n in (1, 3)}, back=3)
+            return sorted(map(tuple, found.result().select("id", F.coalesce("lag1", F.lit(-1.0)), F.coalesce("lag3", F.lit(-1.0))).collect()))
+
+        assert lagged(limit) == lagged(10**9)
